@@ -1 +1,131 @@
-"""(filled in below)"""
+"""Queries for sources and sinks (A)."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+
+from corpusmill.operators import runlog as rl
+from corpusmill.operators import vocab as vb
+from corpusmill.plans import sqlhelp as S
+from corpusmill.plans.q_tokens import STREAM_SQL, char_tokens
+from corpusmill.plans.registry import query
+from corpusmill.session import scratch_path, table
+from corpusmill.sources import corpus as io
+
+E, TRAIN_STEPS = 20, 18  # epoch length of the run log and its positional 0.9 train prefix
+
+
+def _docs_path(sf):
+    return os.path.join(sf, "documents.parquet")
+
+
+@query("scan_corpus", """
+select doc_id, length(regexp_replace(text, '\\r\\n?', chr(10), 'g'))::BIGINT as n_chars_read,
+       octet_length(encode(text))::BIGINT as n_bytes, n_chars = length(text) as n_chars_agree,
+       'documents.parquet' as source_file from documents""", "A1+A2+A14")
+def scan_corpus(spark, sf):
+    d = io.read_corpus(spark, _docs_path(sf))
+    return d.select("doc_id", F.length("text").cast("bigint").alias("n_chars_read"),
+                    F.octet_length("text").cast("bigint").alias("n_bytes"),
+                    (F.col("n_chars") == F.length("text")).alias("n_chars_agree"), "source_file")
+
+
+@query("token_sink_roundtrip", f"""with {STREAM_SQL}
+select doc_id, count(*)::BIGINT as n_tokens, sum(id)::BIGINT as id_sum, min(id) filter (where i = 0)::SMALLINT as first_id
+from t group by doc_id""", "A4+A5")
+def token_sink_roundtrip(spark, sf):
+    path = scratch_path(spark, "tokens")
+    io.write_tokens(char_tokens(spark, sf), path)
+    t = io.read_tokens(spark, path, "int16")
+    return t.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+                    F.aggregate("ids", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("id_sum"),
+                    F.element_at("ids", 1).alias("first_id"))
+
+
+@query("compression_report", None, "A6")
+def compression_report(spark, sf):
+    return io.compression_report(spark, char_tokens(spark, sf), scratch_path(spark, "compress"), "gzip")
+
+
+def _manifest(spark, sf):
+    docs = table(spark, sf, "documents")
+    size = docs.select(F.col("_metadata.file_size")).limit(1).first()[0]
+    vocab_size = vb.char_vocab(docs).count()
+    return io.dataset_manifest(char_tokens(spark, sf), vocab_size, tokenizer_type="character", dtype="int16",
+                               source_file=_docs_path(sf), source_size_bytes=size, output_name="documents",
+                               tokenizer_file="tokenizer.json", cleaned=False, cleaning_mode="balanced")
+
+
+@query("dataset_manifest", f"""with {STREAM_SQL}
+select total as total_tokens, (select count(*) from v)::INTEGER as vocab_size, 'character' as tokenizer_type,
+  'int16' as dtype, 2 as bytes_per_token, 0.9::DOUBLE as train_split, idx as train_split_index, idx as train_tokens,
+  total - idx as val_tokens, 'documents.parquet' as source_file, 'documents.bin' as bin_file,
+  'tokenizer.json' as tokenizer_file, false as cleaned, NULL::VARCHAR as cleaning_mode,
+  32000 as bpe_vocab_size_requested, 2 as bpe_min_frequency from tot""", "A7")
+def dataset_manifest(spark, sf):
+    return _manifest(spark, sf).drop("created", "source_size_bytes")
+
+
+@query("manifest_roundtrip", None, "A7+A8")
+def manifest_roundtrip(spark, sf):
+    path = scratch_path(spark, "manifest")
+    io.write_manifest(_manifest(spark, sf), path)
+    return io.read_manifest(spark, path)
+
+
+@query("manifest_check", f"""with {STREAM_SQL}
+select total as actual, total as expected, true as ok from tot""", "A9")
+def manifest_check(spark, sf):
+    return io.validate_manifest(char_tokens(spark, sf), _manifest(spark, sf))
+
+
+@query("vocab_json_roundtrip", S.vocab_sql("documents"), "A10")
+def vocab_json_roundtrip(spark, sf):
+    path = scratch_path(spark, "vocab")
+    io.save_vocab(vb.char_vocab(table(spark, sf, "documents")), path)
+    return io.load_vocab(spark, path)
+
+
+def _epochs(spark, sf):
+    log = rl.events_as_run_log(table(spark, sf, "events"), E, 4096)
+    ep = (log.groupBy("run_id", "epoch")
+          .agg(F.avg(F.when(F.col("step") <= TRAIN_STEPS, F.col("loss"))).alias("train_loss"),
+               F.avg(F.when(F.col("step") > TRAIN_STEPS, F.col("loss"))).alias("val_loss"),
+               F.count(F.lit(1)).alias("steps")))
+    return ep.where(F.col("steps") == E).drop("steps")
+
+
+def _j(c):
+    return F.array_join(F.transform(c, lambda x: F.round(x, 6).cast("string")), ",")
+
+
+@query("training_history", f"""
+with g as (select user_id as run_id, value as loss, row_number() over (partition by user_id order by event_id) as gstep
+           from events),
+lg as (select run_id, (gstep - 1) // {E} + 1 as epoch, (gstep - 1) % {E} + 1 as step, loss from g),
+ep as (select run_id, epoch, avg(loss) filter (where step <= {TRAIN_STEPS}) as train_loss,
+              avg(loss) filter (where step > {TRAIN_STEPS}) as val_loss from lg group by all having count(*) = {E})
+select run_id, max(epoch)::INTEGER as epochs_completed,
+  array_to_string(list(round(train_loss, 6)::VARCHAR order by epoch), ',') as train_losses,
+  array_to_string(list(round(val_loss, 6)::VARCHAR order by epoch), ',') as val_losses,
+  round(min(train_loss), 6) as best_train_loss, round(min(val_loss), 6) as best_val_loss,
+  arg_min(epoch, (val_loss, epoch))::INTEGER as best_epoch
+from ep group by run_id""", "A12")
+def training_history(spark, sf):
+    path = scratch_path(spark, "history")
+    io.write_history(io.training_history(_epochs(spark, sf)), path)
+    h = io.read_history(spark, path)
+    best = io.training_history(_epochs(spark, sf)).select("run_id", "best_train_loss", "best_val_loss", "best_epoch")
+    return h.join(best, "run_id").select(
+        "run_id", "epochs_completed", _j("train_losses").alias("train_losses"), _j("val_losses").alias("val_losses"),
+        F.round("best_train_loss", 6).alias("best_train_loss"), F.round("best_val_loss", 6).alias("best_val_loss"),
+        "best_epoch")
+
+
+@query("run_report", None, "A13")
+def run_report(spark, sf):
+    h = io.training_history(_epochs(spark, sf))
+    r = io.run_report(h, "documents.bin", batch_size=64, learning_rate=3e-4, duration_minutes=0.0)
+    return r.select("run_id", F.to_json(F.struct("dataset_bin", "training", "performance")).alias("report"))

@@ -198,7 +198,10 @@ def learn_bpe(df: DataFrame, text_col: str = "text", vocab_size: int = 32000, mi
         model.tokens.append(bytes([r["byte"]]))
         byte_to_id[r["byte"]] = r["id"]
     index = {t: i for i, t in enumerate(model.tokens)}
-    syms = _symbol_strings(words, byte_to_id).where(F.size(F.split(F.trim("sym"), " ")) > 1).checkpoint()
+    # spread the word table over all cores (a small aggregate may be coalesced to one partition)
+    parts = max(1, df.sparkSession.sparkContext.defaultParallelism * 2)
+    live = F.size(F.split(F.trim("sym"), " ")) > 1
+    syms = _symbol_strings(words, byte_to_id).where(live).repartition(parts, "sym").checkpoint()
     since = 0
     while len(index) < vocab_size:
         best, floor = _candidates(syms, candidates)
@@ -223,7 +226,7 @@ def learn_bpe(df: DataFrame, text_col: str = "text", vocab_size: int = 32000, mi
         # from memory instead of replaying the merges since the last checkpoint
         prev, syms = syms, syms.select(sym.alias("sym"), "n").cache()
         if since >= checkpoint_every:
-            syms = syms.where(F.size(F.split(F.trim("sym"), " ")) > 1).checkpoint()
+            syms = syms.where(live).repartition(parts, "sym").checkpoint()
             since = 0
         prev.unpersist()
     syms.unpersist()

@@ -89,15 +89,21 @@ def split_documents(tokens_off: DataFrame, index: int, key: str = "doc_id", ids:
 
 # ---- token blocks (layout used by F3, F4, F6) ----------------------------------------
 
-def token_blocks(tokens_off: DataFrame, block_len: int, ids: str = "ids") -> DataFrame:
+def token_blocks(tokens_off: DataFrame, block_len: int, ids: str = "ids",
+                 only: DataFrame | None = None) -> DataFrame:
     """``(block, ids)``: the stream cut into consecutive blocks of ``block_len``
     tokens (the last one may be shorter).  Each document contributes one piece
-    per block it overlaps; a block gathers at most ``block_len`` tokens."""
+    per block it overlaps; a block gathers at most ``block_len`` tokens.
+    ``only`` (a bounded table of block numbers) restricts the layout to those
+    blocks before any token is copied or shuffled."""
     L = int(block_len)
     s, n = F.col("start_pos"), F.col("n_tokens")
     pieces = (tokens_off.where(n > 0)
               .select(s, n, ids, F.explode(F.sequence(F.floor(s / L).cast("bigint"),
-                                                      F.floor((s + n - 1) / L).cast("bigint"))).alias("block"))
+                                                      F.floor((s + n - 1) / L).cast("bigint"))).alias("block")))
+    if only is not None:
+        pieces = pieces.join(F.broadcast(only.select("block").distinct()), "block", "left_semi")
+    pieces = (pieces
               .withColumn("_from", F.greatest(F.col("block") * L - s, F.lit(0)))
               .withColumn("_to", F.least((F.col("block") + 1) * L - s, n))
               .select("block", (s + F.col("_from")).alias("_p"),
@@ -134,6 +140,12 @@ def window_starts(spark: SparkSession, lo: int, hi: int, seq_len: int, batch_siz
     return draws
 
 
+def needed_blocks(starts: DataFrame, block_len: int) -> DataFrame:
+    """The two block numbers every window start reads."""
+    first = F.expr(f"start div {int(block_len)}")
+    return starts.select(F.explode(F.array(first, first + 1)).alias("block"))
+
+
 def sample_windows(blocks: DataFrame, starts: DataFrame, seq_len: int, block_len: int) -> DataFrame:
     """x = tokens [start, start+L), y = tokens [start+1, start+L] for every start.
 

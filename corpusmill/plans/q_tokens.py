@@ -105,9 +105,9 @@ def sample_windows(spark, sf):
     t = tokens_with_offsets(spark, sf).cache()
     total = t.agg(F.sum("n_tokens")).first()[0]
     idx = int(total * RATIO)
-    blocks = ds.token_blocks(t, WIN_LEN + 1)
     starts = (ds.window_starts(spark, 0, idx, WIN_LEN, WIN_BATCH, WIN_BATCHES, WIN_SEED, "train")
               .unionByName(ds.window_starts(spark, idx, total, WIN_LEN, WIN_BATCH, WIN_BATCHES, WIN_SEED, "val")))
+    blocks = ds.token_blocks(t, WIN_LEN + 1, only=ds.needed_blocks(starts, WIN_LEN + 1))
     w = ds.sample_windows(blocks, starts, WIN_LEN, WIN_LEN + 1)
     return w.select("split", "batch", "slot", "start", _ids_str("x").alias("x"), _ids_str("y").alias("y"))
 
@@ -117,8 +117,8 @@ def sample_windows(spark, sf):
 def sample_windows_all(spark, sf):
     t = tokens_with_offsets(spark, sf).cache()
     total = t.agg(F.sum("n_tokens")).first()[0]
-    blocks = ds.token_blocks(t, ALL_LEN + 1)
     starts = ds.window_starts(spark, 0, total, ALL_LEN, ALL_BATCH, ALL_BATCHES, ALL_SEED, "all", sort=False)
+    blocks = ds.token_blocks(t, ALL_LEN + 1, only=ds.needed_blocks(starts, ALL_LEN + 1))
     w = ds.sample_windows(blocks, starts, ALL_LEN, ALL_LEN + 1)
     return w.select("split", "batch", "slot", "start", _ids_str("x").alias("x"), _ids_str("y").alias("y"))
 

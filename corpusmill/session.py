@@ -66,6 +66,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def spread(df):
+    """Round-robin the rows over the cluster's parallelism when the scan yields
+    fewer partitions than that (a single-row-group file is one split).  Large
+    inputs already have more splits than cores and pass through untouched."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str):
     """Read one of the driver tables (one parquet file per table)."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))

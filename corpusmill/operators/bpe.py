@@ -138,7 +138,7 @@ def pair_counts(syms: DataFrame) -> DataFrame:
             .agg(F.sum("n").alias("cnt")))
 
 
-TOP_CANDIDATES = 4096
+TOP_CANDIDATES = 512
 
 
 def _candidates(syms: DataFrame, k: int) -> tuple[list, int]:

@@ -128,3 +128,17 @@ def next_item(z, seed: int, row, t: float = 1.0, k: int | None = None,
         x = recency_penalty(x, history, penalty, last)
     x = topk_filter(x, k)
     return weighted_draw(softmax(x), seed, row)
+
+
+def next_items(df: DataFrame, z: str, seed: int, row: str, t: float = 1.0, k: int | None = None,
+               penalty: float = 1.0, history: str | None = None, last: int = RECENT_WINDOW,
+               out: str = "item") -> DataFrame:
+    """``next_item`` as a DataFrame step: each stage is its own projection, so
+    every intermediate array is computed once per row (a stage referenced
+    several times is not inlined into the next one)."""
+    x = df.withColumn("_x", temperature(z, t))
+    if history is not None:
+        x = x.withColumn("_x", recency_penalty("_x", history, penalty, last))
+    x = x.withColumn("_x", topk_filter("_x", k))
+    x = x.withColumn("_p", softmax("_x"))
+    return x.withColumn(out, weighted_draw("_p", seed, row)).drop("_x", "_p")

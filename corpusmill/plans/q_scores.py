@@ -141,5 +141,4 @@ f as (select vec_id, list_transform(zp, lambda x: case when x >= kth then x else
 {_softmax_sql('f', 'zf')}, {_draw_sql('sm', 5)[1:]}""", "G8")
 def next_item(spark, sf):
     e = _with_history(_emb(spark, sf))
-    return e.select("vec_id", sc.next_item("z", 5, "vec_id", t=0.8, k=10, penalty=1.3,
-                                           history=F.col("history")).alias("item"))
+    return sc.next_items(e, "z", 5, "vec_id", t=0.8, k=10, penalty=1.3, history="history").select("vec_id", "item")

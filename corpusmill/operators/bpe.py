@@ -153,12 +153,13 @@ def _candidates(syms: DataFrame, k: int) -> tuple[list, int]:
 def _exact_batch(best: list, floor: int, min_frequency: int, room: int) -> list:
     """The longest prefix of ``best`` that sequential merging would also pick.
 
-    After merging (a, b) only pairs touching a or b lose occurrences, and a
-    pair created with the new symbol occurs at most as often as a pair touching
-    a or b did.  So the next candidate is exact when it shares no symbol with
-    the accepted ones and its count beats every pair touching them; pairs
-    outside the candidate list count at most ``floor``.  A pair (a, a) ends
-    the batch (its own leftovers are not bounded that way).
+    Merging (a, b) into m only removes occurrences of pairs touching a or b;
+    any such pair ranked above the next candidate stops the batch, because
+    candidates must not touch a merged symbol.  New pairs (x, m) and (m, y)
+    occur at most as often as (x, a) and (b, y) did, so the next candidate is
+    exact when its count beats every pair with a on the right or b on the left
+    (pairs outside the candidate list count at most ``floor``).  A pair (a, a)
+    ends the batch (its own leftovers are not bounded that way).
     """
     accepted, used, bound = [], set(), -1
     for cnt, a, b in best:
@@ -169,7 +170,7 @@ def _exact_batch(best: list, floor: int, min_frequency: int, room: int) -> list:
         accepted.append((cnt, a, b))
         used.update((a, b))
         taken = {(x, y) for _, x, y in accepted}
-        touching = [c for c, x, y in best if (x in (a, b) or y in (a, b)) and (x, y) not in taken]
+        touching = [c for c, x, y in best if (y == a or x == b) and (x, y) not in taken]
         bound = max([bound, floor] + touching[:1])
         if a == b:
             break

@@ -52,3 +52,17 @@ def test_save_load_bpe(spark, tmpdir_fresh):
         io.load_bpe(spark, tmpdir_fresh + "/missing")
     with pytest.raises(ValueError):
         io.save_bpe(spark, None, tmpdir_fresh + "/x")
+
+
+def test_fixture_anchors_sf0001(spark):
+    """FIXTURES: vocab 300 / min frequency 2 on sf0.001 documents."""
+    from tests.conftest import SF001
+
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    m = bpe.learn_bpe(docs, vocab_size=300, min_frequency=2)
+    assert m.vocab_size == 300
+    assert max(i for i, t in enumerate(m.tokens) if isinstance(t, bytes) and len(t) == 1) == 102
+    first = [m.token_text(a) + " " + m.token_text(b) for a, b, _ in m.merges[:8]]
+    assert first == ["t h", "Ġ th", "Ġ e", "o n", "i n", "r e", "Ġ a", "t i"]
+    n = bpe.bpe_encode(docs, m).agg(F.sum(F.size("ids"))).first()[0]
+    assert n == 214273

@@ -59,24 +59,29 @@ def distinct_chars(df: DataFrame, text_col: str = "text", by: list[str] | None =
 def cleaning_stats(df: DataFrame, mode: str = "balanced", text_col: str = "text",
                    by: list[str] | None = None) -> DataFrame:
     """Characters and distinct characters before and after cleaning, removed
-    counts and percentage reductions, optionally per group (C2)."""
+    counts and percentage reductions, optionally per group (C2).
+
+    One pass: each row yields its two lengths and its distinct characters
+    tagged by side; one explode (the lengths ride on the first element) and
+    one aggregate give every number, so the cleaning runs once per row.
+    """
     by = list(by or [])
-    keys = by or ["_all"]  # one-row case: a constant key keeps it an equi-join
-    src = df if by else df.withColumn("_all", F.lit(0))
-    cleaned = src.select(*keys, F.col(text_col).alias("before"), cl.clean(F.col(text_col), mode).alias("after"))
-    lengths = cleaned.groupBy(*keys).agg(
-        F.coalesce(F.sum(F.length("before")), F.lit(0)).alias("chars_before"),
-        F.coalesce(F.sum(F.length("after")), F.lit(0)).alias("chars_after"))
-    sides = (cleaned.select(*keys, F.lit("before").alias("side"),
-                            F.explode(F.array_distinct(char_array("before"))).alias("ch"))
-             .unionByName(cleaned.select(*keys, F.lit("after").alias("side"),
-                                         F.explode(F.array_distinct(char_array("after"))).alias("ch"))))
-    vocab = (sides.groupBy(*keys, "side").agg(F.count_distinct("ch").alias("n"))
-             .groupBy(*keys).agg(
-                 F.max(F.when(F.col("side") == "before", F.col("n"))).alias("vocab_before"),
-                 F.max(F.when(F.col("side") == "after", F.col("n"))).alias("vocab_after")))
-    out = lengths.join(vocab, on=keys, how="left").fillna(0, ["vocab_before", "vocab_after"])
-    return out.select(
+    before = F.col(text_col)
+    after = cl.clean(before, mode)
+
+    def tagged(c, side):
+        return F.transform(F.array_distinct(char_array(c)), lambda ch: F.struct(F.lit(side).alias("s"), ch.alias("c")))
+
+    rows = df.select(*by, F.length(before).alias("_lb"), F.length(after).alias("_la"),
+                     F.concat(tagged(before, 0), tagged(after, 1)).alias("_t"))
+    flat = rows.select(*by, "_lb", "_la", F.posexplode_outer("_t").alias("_pos", "_e"))
+    first = F.coalesce(F.col("_pos"), F.lit(0)) == 0
+    agg = flat.groupBy(*by).agg(
+        F.coalesce(F.sum(F.when(first, F.col("_lb"))), F.lit(0)).alias("chars_before"),
+        F.coalesce(F.sum(F.when(first, F.col("_la"))), F.lit(0)).alias("chars_after"),
+        F.count_distinct(F.when(F.col("_e.s") == 0, F.col("_e.c"))).alias("vocab_before"),
+        F.count_distinct(F.when(F.col("_e.s") == 1, F.col("_e.c"))).alias("vocab_after"))
+    return agg.select(
         *by, "chars_before", "chars_after", "vocab_before", "vocab_after",
         (F.col("chars_before") - F.col("chars_after")).alias("chars_removed"),
         _pct(F.col("chars_before") - F.col("chars_after"), F.col("chars_before")).alias("pct_chars_removed"),

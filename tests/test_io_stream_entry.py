@@ -65,3 +65,16 @@ def test_entry_and_catalogue(spark):
     for name in ("clean_balanced", "char_vocab", "token_stream_offsets", "sample_windows", "cross_entropy",
                  "running_mean", "truncate_at_stop", "bpe_merges", "stream_clean", "dataset_manifest"):
         assert name in qs
+
+
+def test_write_corpus_and_compression_report(spark, tmpdir_fresh):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
+    io.write_corpus(docs.withColumn("text", cl.clean_strict(F.col("text"))), tmpdir_fresh + "/clean")
+    back = spark.read.parquet(tmpdir_fresh + "/clean")
+    assert back.count() == 200 and back.agg(F.sum(F.length("text"))).first()[0] == 483383
+    io.write_corpus(docs, tmpdir_fresh + "/txt", fmt="text")
+    assert spark.read.text(tmpdir_fresh + "/txt", wholetext=False).count() > 200  # documents span lines
+    codec = vb.CharCodec(vb.char_vocab(docs))
+    toks = docs.select("doc_id", codec.encode(F.col("text")).alias("ids"))
+    r = io.compression_report(spark, toks, tmpdir_fresh + "/cmp", "gzip").first()
+    assert r.input_bytes > r.output_bytes > 0 and 0 < r.reduction_pct < 100

@@ -9,8 +9,6 @@ with an equi-join on the block number instead of a range join.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -25,18 +23,26 @@ def prefix_offsets(df: DataFrame, key: str, size: Column | str, out: str = "star
                    buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Exclusive running sum of ``size`` in ``key`` order, computed in two levels.
 
-    1. rows fall into ``buckets`` contiguous key ranges (from the key's min/max);
+    1. rows fall into at most ``buckets`` contiguous key ranges whose bounds are
+       approximate quantiles of the key, so buckets hold similar row counts
+       however the keys are spread;
     2. inside a bucket a window gives the running sum (bounded by bucket size);
     3. bucket totals (at most ``buckets`` rows) get their own running sum and
        are broadcast back.
+    Exactness only needs the bucket number to grow with the key.
     """
+    from pyspark.ml.feature import Bucketizer
+
     size = F.col(size) if isinstance(size, str) else size
     sized = df.withColumn("_n", size.cast("bigint"))
-    lo, hi = sized.agg(F.min(key), F.max(key)).first()
-    if lo is None:
+    probs = [i / buckets for i in range(1, buckets)]
+    bounds = sorted(set(sized.approxQuantile(key, probs, 0.001))) if buckets > 1 else []
+    if not bounds and sized.limit(1).count() == 0:
         return sized.withColumn(out, F.lit(0).cast("bigint")).drop("_n")
-    width = max(1, math.ceil((int(hi) - int(lo) + 1) / buckets))
-    b = sized.withColumn("_b", ((F.col(key) - F.lit(int(lo))) / F.lit(width)).cast("bigint"))
+    splits = [float("-inf")] + [float(b) for b in bounds] + [float("inf")]
+    b = (Bucketizer(splits=splits, inputCol="_kd", outputCol="_bd", handleInvalid="keep")
+         .transform(sized.withColumn("_kd", F.col(key).cast("double")))
+         .withColumn("_b", F.col("_bd").cast("int")).drop("_kd", "_bd"))
     inner = Window.partitionBy("_b").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
     b = b.withColumn("_in", F.sum("_n").over(inner) - F.col("_n"))
     totals = b.groupBy("_b").agg(F.sum("_n").alias("_bn"))

@@ -82,3 +82,15 @@ def test_context_tail(spark):
     df = spark.createDataFrame([([1, 2, 3, 4, 5],), ([1],), ([],)], "ids array<int>")
     got = [r.t for r in df.select(ds.context_tail("ids", 3).alias("t")).collect()]
     assert got == [[3, 4, 5], [1], []]
+
+
+def test_offsets_with_clustered_keys(spark):
+    # most keys packed in a narrow range, a few far away: buckets come from quantiles
+    keys = list(range(1000)) + [10**12, 10**12 + 5, 2 * 10**12]
+    rows = [(k, list(range(k % 7))) for k in keys]
+    df = spark.createDataFrame(rows, "doc_id long, ids array<int>")
+    off = {r.doc_id: r.start_pos for r in ds.token_offsets(df, buckets=16).collect()}
+    pos = 0
+    for k, ids in sorted(rows):
+        assert off[k] == pos
+        pos += len(ids)

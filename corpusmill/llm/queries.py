@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import q_decontaminate
+from corpusmill.llm import q_decontaminate, q_quality
 
-_MODULES = (q_decontaminate,)
+_MODULES = (q_decontaminate, q_quality)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import q_chat, q_decontaminate, q_mixing, q_quality, q_setjoin, q_surrogates, q_units, q_warc
+from corpusmill.llm import q_chat, q_decontaminate, q_mixing, q_quality, q_setjoin, q_surrogates, q_units, q_urlrules, q_warc
 
-_MODULES = (q_decontaminate, q_units, q_mixing, q_quality, q_warc, q_chat, q_surrogates, q_setjoin)
+_MODULES = (q_decontaminate, q_units, q_mixing, q_quality, q_urlrules, q_warc, q_chat, q_surrogates, q_setjoin)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -67,7 +67,9 @@ def exponent(shares: DataFrame, entropy: float, max_epochs: float, budget_share:
         low, high = 0, STEPS + 1
         while high - low > 1:
             points = sorted({low + (high - low) * k // (_POINTS + 1) for k in range(1, _POINTS + 1)} - {low, high})
-            got = _measures(shares, points or [low + 1])
+            got = _measures(shares, points)
+            if not got:
+                return low  # no source has tokens
             for k in sorted(got):
                 if holds(*got[k]):
                     low = k

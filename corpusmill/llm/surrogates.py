@@ -49,6 +49,8 @@ SYLLABLES = {"latin": ("bdfghjklmnprstvz", "aeiou", {"f": "a", "m": "o", "n": "e
              "greek": ("βγδζθκλμνξπρστφχ", "αειου", {"f": "α", "m": "ο", "n": "ε"})}
 # ---------------------------------------------------------------------------------------------------------------------
 
+#: Characters that are permuted as one number.
+_PIECE = 48
 _CLASS = {ch: a for a in ALPHABETS for ch in a}
 _TITLE = {t: g for g, names in (("f", FEMALE), ("m", MALE), ("n", NEUTRAL)) for t in names.split()}
 _NAME = r"[^\W\d_][^\W\d_'’-]*(?:[-'’][^\W\d_]+)*"
@@ -118,8 +120,15 @@ def permuted(x: int, size: int, key: bytes, tweak: str) -> int:
     return walk((walk(x, range(8)) + 1) % size, range(7, -1, -1))
 
 
+def _pieces(text: str) -> list[str]:
+    """A long text is permuted piece by piece, so numbers stay small."""
+    return [text[k:k + _PIECE] for k in range(0, max(len(text), 1), _PIECE)]
+
+
 def _by_class(text: str, key: bytes, tweak: str) -> str:
     """Permute a text within its format: each character keeps its alphabet, others stay."""
+    if len(text) > _PIECE:
+        return "".join(_by_class(piece, key, f"{tweak}|{k}") for k, piece in enumerate(_pieces(text)))
     shape = [_CLASS.get(ch) for ch in text]
     number, size = 0, 1
     for ch, a in zip(text, shape, strict=True):
@@ -137,6 +146,12 @@ def _by_class(text: str, key: bytes, tweak: str) -> str:
     return "".join(reversed(out))
 
 
+def _hex(value: str, key: bytes) -> str:
+    pieces = [format(permuted(int(p, 16), 16 ** len(p), key, f"hex{len(value)}|{k}"), f"0{len(p)}x") for k, p in enumerate(_pieces(value))]
+    new = "".join(pieces)
+    return new.upper() if value == value.upper() and value != value.lower() else new
+
+
 def _refill(form: str, digits: str) -> str:
     """Put ``digits`` in the places of the digits of ``form``."""
     rest = iter(digits)
@@ -196,17 +211,20 @@ def _name_part(word: str, gender: str, key: bytes) -> str:
         base, other = len(alphabet), 0
     else:
         codes, base, other = [ord(ch) for ch in low], 1 << 21, 1
-    number = 0
-    for c in codes:
-        number = number * base + c
-    number = permuted(number, base ** len(codes), key, f"name|{script}|{gender}|{other}|{len(codes)}")
-    number += sum(base ** k for k in range(1, len(codes)))
     consonants, vowels, ending = SYLLABLES[script]
-    syllables = []
-    while number or not syllables:
-        number, k = divmod(number, len(consonants) * len(vowels))
-        syllables.append(consonants[k // len(vowels)] + vowels[k % len(vowels)])
-    out = "".join(reversed(syllables)) + consonants[8 * other + len(codes) % 8] + ending[gender]
+    rendered = []
+    for at in range(0, len(codes), _PIECE):
+        piece, number = codes[at:at + _PIECE], 0
+        for c in piece:
+            number = number * base + c
+        number = permuted(number, base ** len(piece), key, f"name|{script}|{gender}|{other}|{at}|{len(piece)}")
+        number += sum(base ** k for k in range(1, len(piece)))
+        syllables = []
+        while number or not syllables:
+            number, k = divmod(number, len(consonants) * len(vowels))
+            syllables.append(consonants[k // len(vowels)] + vowels[k % len(vowels)])
+        rendered.append("".join(reversed(syllables)))
+    out = consonants[0].join(rendered) + consonants[8 * other + len(codes) % 8] + ending[gender]
     return out.upper() if word.isupper() and len(word) > 1 else out.capitalize()
 
 
@@ -234,8 +252,7 @@ def surrogate(value: str, kind: str, gender: str, key: bytes) -> str:
     if kind == "name":
         return " ".join(_name_part(w, g, key) for w, g in _name_parts(value, gender))
     if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", value):
-        new = format(permuted(int(value, 16), 16 ** len(value), key, f"hex{len(value)}"), f"0{len(value)}x")
-        return new.upper() if value == value.upper() and value != value.lower() else new
+        return _hex(value, key)
     return _by_class(value, key, "secret")
 
 

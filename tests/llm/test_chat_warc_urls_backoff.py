@@ -58,8 +58,7 @@ def pages(spark):
     htmls = ["", "a", "é\r\n\r\nWARC/1.1\r\n", "\r\n\r\n", "x" * 300_000, None, "<p>\n</p>"]
     rows = [(k, rng.choice([f"http://www.b{k % 4}.example.com/p{k % 3}?q#f", "HTTPS://A.example.org", None, "no scheme", "http://x/\r\ny"]), rng.choice(htmls), "z")
             for k in range(120)]
-    rows += [(7, rows[7][1], rows[7][2], "z"), (None, "http://n/", "only null"), (None, "http://n/", "only null"), (None, None, "a")] if False else [
-        (7, rows[7][1], rows[7][2], "z"), (None, "http://n/", "only null", "z"), (None, "http://n/", "only null", "z"), (None, None, "a", None)]
+    rows += [(7, rows[7][1], rows[7][2], "z"), (None, "http://n/", "only null", "z"), (None, "http://n/", "only null", "z"), (None, None, "a", None)]
     return rows, spark.createDataFrame(rows, "page_id long, url string, html string, first string").repartition(5)
 
 

@@ -50,7 +50,7 @@ def test_repeated_units(spark, docs, unit, sep):
     got = drop_repeats(df, unit=unit, min_words=3)
     assert got.columns == ["doc_id", "text", "_key", "unit", "n_units", "n_removed", "removed"]
     have = [(r.doc_id, r.text, r.n_units, [(x.first, x.end) for x in r.removed]) for r in got.collect()]
-    assert sorted(have, key=repr) == sorted(brute_units(rows, sep, 3), key=repr)
+    assert sorted(have, key=repr) == sorted(brute_units(rows, "\n" if unit == "line" else "\n\n+", 3), key=repr)
     assert all(r.n_removed == len(r.removed) for r in got.collect())
     assert drop_repeats(df.limit(0), unit=unit).count() == 0
 

@@ -1,9 +1,9 @@
 """Token dataset assembly.
 
 The token table is ``(doc_id, ids ARRAY<INT>)``: one row per document in
-document order.  Global positions come from a two-level prefix sum (per key
-range bucket, then a bounded table of bucket offsets), never from a window
-over all documents.  Training windows are read from fixed-size token blocks
+document order.  Global positions come from a two-level prefix sum over keys and
+sizes only (per key range bucket, then a bounded table of bucket offsets), never
+from a window over all documents or over their tokens.  Training windows are read from fixed-size token blocks
 with an equi-join on the block number instead of a range join.
 """
 
@@ -16,42 +16,50 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions.hashing import md5_bits, md5_unit
 
-DEFAULT_BUCKETS = 256
+#: Keys in one bucket of the two-level prefix sum, on average, and buckets at most:
+#: beyond their product buckets grow, holding two narrow columns.
+BUCKET_KEYS = 100_000
+MOST_BUCKETS = 1024
 
 
 # ---- F1: global offsets ------------------------------------------------------------
 
 def prefix_offsets(df: DataFrame, key: str, size: Column | str, out: str = "start_pos",
-                   buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Exclusive running sum of ``size`` in ``key`` order, computed in two levels.
-
-    1. rows fall into ``buckets`` contiguous key ranges (from the key's min/max);
-    2. inside a bucket a window gives the running sum (bounded by bucket size);
-    3. bucket totals (at most ``buckets`` rows) get their own running sum and
-       are broadcast back.
+                   bucket_keys: int = BUCKET_KEYS) -> DataFrame:
+    """Exclusive running sum of ``size`` in ``key`` order (a null key first), in two levels.
+
+    Only ``(key, size)`` is sorted; the result joins back by key, so payload columns
+    never pass through a window.  Buckets are bounded by quantiles of the keys and
+    their number follows the rows, so clustered and hashed keys are balanced too.
+    Bucket totals (at most ``MOST_BUCKETS`` + 1 rows) get their own running sum and
+    are broadcast back.  Keys must be unique; a repeated one is an error.
     """
     size = F.col(size) if isinstance(size, str) else size
-    sized = df.withColumn("_n", size.cast("bigint"))
-    lo, hi = sized.agg(F.min(key), F.max(key)).first()
-    if lo is None:
-        return sized.withColumn(out, F.lit(0).cast("bigint")).drop("_n")
-    width = max(1, math.ceil((int(hi) - int(lo) + 1) / buckets))
-    b = sized.withColumn("_b", ((F.col(key) - F.lit(int(lo))) / F.lit(width)).cast("bigint"))
-    inner = Window.partitionBy("_b").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
-    b = b.withColumn("_in", F.sum("_n").over(inner) - F.col("_n"))
-    totals = b.groupBy("_b").agg(F.sum("_n").alias("_bn"))
-    outer = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)  # <= buckets rows
+    narrow = df.select(F.col(key).alias("_k"), size.cast("bigint").alias("_n"))
+    counted = narrow.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    many = min(MOST_BUCKETS, max(1, math.ceil(counted / bucket_keys)))
+    # doubles keep the order of 64-bit keys (not strictly): equal ones share a bucket
+    place = F.col("_k").cast("double")
+    cuts = narrow.agg(F.percentile_approx(place, [i / many for i in range(1, many)], 10 * many)).first()[0] if many > 1 else []
+    bounds = sorted(set(cuts or []))
+    above = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda x: x <= place)) if bounds else F.lit(0)
+    keyed = narrow.withColumn("_b", F.when(F.col("_k").isNull(), F.lit(-1)).otherwise(above))
+    inner = Window.partitionBy("_b").orderBy("_k")
+    again = F.lag("_k").over(inner).eqNullSafe(F.col("_k")) & (F.row_number().over(inner) > 1)
+    unique = F.when(again, F.raise_error(F.concat(F.lit("repeated key "), F.coalesce(F.col("_k").cast("string"), F.lit("null")))).cast("bigint"))
+    b = keyed.withColumn("_in", F.coalesce(unique, F.sum("_n").over(inner.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")))
+    totals = keyed.groupBy("_b").agg(F.sum("_n").alias("_bn"))
+    outer = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)  # <= MOST_BUCKETS + 1 rows
     offs = totals.select("_b", (F.sum("_bn").over(outer) - F.col("_bn")).alias("_boff"))
-    return (b.join(F.broadcast(offs), "_b")
-            .withColumn(out, F.col("_boff") + F.col("_in"))
-            .drop("_b", "_in", "_boff", "_n"))
+    starts = b.join(F.broadcast(offs), "_b").select("_k", (F.col("_boff") + F.col("_in")).alias(out))
+    return df.join(starts, df[key].eqNullSafe(F.col("_k"))).drop("_k")
 
 
 def token_offsets(tokens: DataFrame, key: str = "doc_id", ids: str = "ids",
-                  buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                  bucket_keys: int = BUCKET_KEYS) -> DataFrame:
     """Adds ``n_tokens`` and ``start_pos`` (global position of the first token)."""
     t = tokens.withColumn("n_tokens", F.size(ids).cast("bigint"))
-    return prefix_offsets(t, key, "n_tokens", "start_pos", buckets)
+    return prefix_offsets(t, key, "n_tokens", "start_pos", bucket_keys)
 
 
 def token_stream(tokens_off: DataFrame, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -60,9 +68,9 @@ def token_stream(tokens_off: DataFrame, key: str = "doc_id", ids: str = "ids") -
         .select(key, (F.col("start_pos") + F.col("i")).alias("pos"), "id")
 
 
-def dense_index(df: DataFrame, key: str, out: str = "row_index", buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def dense_index(df: DataFrame, key: str, out: str = "row_index", bucket_keys: int = BUCKET_KEYS) -> DataFrame:
     """0-based rank of each row in ``key`` order (keys unique), without a global window."""
-    return prefix_offsets(df, key, F.lit(1), out, buckets)
+    return prefix_offsets(df, key, F.lit(1), out, bucket_keys)
 
 
 # ---- F2: positional split -----------------------------------------------------------
@@ -78,13 +86,12 @@ def split_documents(tokens_off: DataFrame, index: int, key: str = "doc_id", ids:
     n = F.col("n_tokens")
     s = F.col("start_pos")
     k = F.least(F.greatest(F.lit(index) - s, F.lit(0)), n)  # tokens of this doc in train
-    train = tokens_off.where(k > 0).select(
-        F.lit("train").alias("split"), key, s.alias("start_pos"),
-        F.slice(ids, 1, k.cast("int")).alias(ids))
-    val = tokens_off.where(k < n).select(
-        F.lit("val").alias("split"), key, (s + k).alias("start_pos"),
-        F.slice(ids, (k + 1).cast("int"), (n - k).cast("int")).alias(ids))
-    return train.unionByName(val)
+    train = F.struct(F.lit("train").alias("split"), s.alias("start_pos"), F.lit(1).alias("first"), k.cast("int").alias("many"))
+    val = F.struct(F.lit("val").alias("split"), (s + k).alias("start_pos"), (k + 1).cast("int").alias("first"), (n - k).cast("int").alias("many"))
+    # both parts in one pass over the tokens
+    part = tokens_off.select(key, ids, F.explode(F.array(train, val)).alias("_p")).where("_p.many > 0")
+    return part.select(F.col("_p.split").alias("split"), key, F.col("_p.start_pos").alias("start_pos"),
+                       F.slice(ids, F.col("_p.first"), F.col("_p.many")).alias(ids))
 
 
 # ---- token blocks (layout used by F3, F4, F6) ----------------------------------------
@@ -94,7 +101,7 @@ def token_blocks(tokens_off: DataFrame, block_len: int, ids: str = "ids",
     """``(block, ids)``: the stream cut into consecutive blocks of ``block_len``
     tokens (the last one may be shorter).  Each document contributes one piece
     per block it overlaps; a block gathers at most ``block_len`` tokens.
-    ``only`` (a bounded table of block numbers) restricts the layout to those
+    ``only`` (a table of block numbers) restricts the layout to those
     blocks before any token is copied or shuffled."""
     L = int(block_len)
     s, n = F.col("start_pos"), F.col("n_tokens")
@@ -102,7 +109,7 @@ def token_blocks(tokens_off: DataFrame, block_len: int, ids: str = "ids",
               .select(s, n, ids, F.explode(F.sequence(F.floor(s / L).cast("bigint"),
                                                       F.floor((s + n - 1) / L).cast("bigint"))).alias("block")))
     if only is not None:
-        pieces = pieces.join(F.broadcast(only.select("block").distinct()), "block", "left_semi")
+        pieces = pieces.join(only.select("block").distinct(), "block", "left_semi")
     pieces = (pieces
               .withColumn("_from", F.greatest(F.col("block") * L - s, F.lit(0)))
               .withColumn("_to", F.least((F.col("block") + 1) * L - s, n))
@@ -150,15 +157,14 @@ def sample_windows(blocks: DataFrame, starts: DataFrame, seq_len: int, block_len
     """x = tokens [start, start+L), y = tokens [start+1, start+L] for every start.
 
     ``block_len >= seq_len + 1`` keeps every window inside two consecutive
-    blocks; the starts table is bounded by batches x batch size and is the
-    broadcast side of an equi-join on the block number.
+    blocks, so starts and blocks meet in an equi-join on the block number.
     """
     L, B = int(seq_len), int(block_len)
     if B < L + 1:
         raise ValueError("block_len must be at least seq_len + 1")
     first = F.expr(f"start div {B}")
     need = starts.select("*", F.explode(F.array(first, first + 1)).alias("block"))
-    got = blocks.join(F.broadcast(need), "block")
+    got = blocks.join(need, "block")
     keys = ["split", "batch", "slot", "start"]
     win = (got.groupBy(*keys)
            .agg(F.array_sort(F.collect_list(F.struct("block", "ids"))).alias("_bs"))
@@ -239,4 +245,4 @@ def sample_with_replacement(df: DataFrame, k: int, seed: int, key: str) -> DataF
     draws = df.sparkSession.range(int(k)).select(
         F.col("id").alias("draw"),
         F.floor(md5_unit(F.lit(seed), F.col("id")) * F.lit(n)).cast("bigint").alias("_row"))
-    return idx.join(F.broadcast(draws), "_row").drop("_row")
+    return idx.join(draws, "_row").drop("_row")

@@ -13,9 +13,6 @@ from pyspark.sql import functions as F
 
 from corpusmill.operators.profile import char_array
 
-# Above this many symbols the codec switches from an in-expression lookup array
-# to a broadcast join against the vocabulary table.
-LOOKUP_MAX_CODE_POINT = 1 << 16
 VOCAB_COLLECT_LIMIT = 1_114_112  # the whole code space: a proven upper bound
 
 
@@ -49,18 +46,18 @@ def vocab_stats(vocab: DataFrame, n: int = 20) -> DataFrame:
 
 
 def _vocab_rows(vocab: DataFrame):
-    n = vocab.count()
-    if n > VOCAB_COLLECT_LIMIT:
-        raise ValueError(f"vocabulary of {n} symbols is not a character vocabulary")
-    return vocab.select("id", "ch").collect()
+    rows = vocab.select("id", "ch").limit(VOCAB_COLLECT_LIMIT + 1).collect()
+    if len(rows) > VOCAB_COLLECT_LIMIT:
+        raise ValueError("more symbols than there are characters: not a character vocabulary")
+    return rows
 
 
 class CharCodec:
     """Encode text to ids and back with a fixed character vocabulary.
 
     The vocabulary (bounded by the alphabet) is read once on the driver and
-    turned into literal arrays inside the expression: a code point indexes the
-    id array directly, an id indexes the character array.  Both sides stay
+    turned into literal arrays inside the expression: a code point indexes pages of
+    ids, an id indexes the character array.  Both sides stay
     narrow - no join, no shuffle of the corpus.
     """
 
@@ -77,11 +74,14 @@ class CharCodec:
 
     # literal arrays, folded to a single constant by the optimizer
     def _ids_by_code_point(self) -> Column:
+        """Pages of 256 code points, empty where the vocabulary has none: one path
+        for every character, and as many entries as there are pages in use."""
         if self._id_lookup is None:
-            table = ["NULL"] * (self.max_cp + 1)
+            pages: dict[int, list[str]] = {}
             for i, ch in enumerate(self.chars):
-                table[ord(ch)] = str(i)
-            self._id_lookup = F.expr("cast(array(" + ",".join(table) + ") as array<int>)")
+                pages.setdefault(ord(ch) >> 8, ["NULL"] * 256)[ord(ch) & 255] = str(i)
+            every = (f"array({','.join(pages[k])})" if k in pages else "array()" for k in range((self.max_cp >> 8) + 1))
+            self._id_lookup = F.expr(f"cast(array({','.join(every)}) as array<array<int>>)")
         return self._id_lookup
 
     def _chars_by_id(self) -> Column:
@@ -93,10 +93,9 @@ class CharCodec:
     def encode(self, c) -> Column:
         """Ids of the characters present in the vocabulary; unknown characters
         are dropped silently (D3)."""
-        if self.max_cp >= LOOKUP_MAX_CODE_POINT:
-            raise ValueError("use encode_table() for vocabularies beyond the BMP")
         lookup = self._ids_by_code_point()
-        ids = F.transform(char_array(c), lambda ch: F.try_element_at(lookup, F.ascii(ch) + 1))
+        ids = F.transform(char_array(c), lambda ch: F.try_element_at(
+            F.try_element_at(lookup, F.shiftright(F.ascii(ch), 8) + 1), F.ascii(ch).bitwiseAND(255) + 1))
         return F.filter(ids, lambda x: x.isNotNull())
 
     def decode(self, c) -> Column:
@@ -108,19 +107,6 @@ class CharCodec:
             F.transform(col, lambda i: F.when((i >= 0) & (i < n), F.try_element_at(arr, (i + 1).cast("int")))),
             "")
 
-    def encode_table(self, df: DataFrame, vocab: DataFrame, text_col: str = "text",
-                     key: str = "doc_id", out_col: str = "ids") -> DataFrame:
-        """Join form of ``encode`` for very large alphabets: explode characters
-        with their position, broadcast-join the (alphabet-bounded) vocabulary,
-        and reassemble per row in position order."""
-        exploded = df.select(key, F.posexplode(char_array(text_col)).alias("pos", "ch"))
-        hits = exploded.join(F.broadcast(vocab.select("ch", "id")), "ch", "inner")
-        enc = (hits.groupBy(key)
-               .agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_p"))
-               .select(key, F.transform("_p", lambda s: s["id"]).alias(out_col)))
-        return df.join(enc, key, "left").withColumn(
-            out_col, F.coalesce(F.col(out_col), F.expr("cast(array() as array<int>)")))
-
 
 def char_encode(df: DataFrame, vocab: DataFrame, text_col: str = "text", out_col: str = "ids") -> DataFrame:
     codec = CharCodec(vocab)

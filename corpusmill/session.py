@@ -44,8 +44,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     The cluster names it in ``spark.checkpoint.dir`` (or it was set on the
-    context).  Only when neither is present - a local test session - a
-    private folder is created so ``DataFrame.checkpoint()`` works.
+    context).  When neither is present, a local session gets a private folder so
+    that ``DataFrame.checkpoint()`` works in tests; on a cluster it is an error,
+    as executors don't share the driver's folders.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -53,6 +54,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="corpusmill-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf

@@ -15,7 +15,7 @@ def _flat(rows):
 
 def test_offsets_match_brute_force(spark):
     df, rows = _tokens(spark)
-    off = {r.doc_id: (r.n_tokens, r.start_pos) for r in ds.token_offsets(df, buckets=5).collect()}
+    off = {r.doc_id: (r.n_tokens, r.start_pos) for r in ds.token_offsets(df, bucket_keys=12).collect()}
     pos = 0
     for d, ids in sorted(rows):
         assert off[d] == (len(ids), pos)
@@ -25,7 +25,7 @@ def test_offsets_match_brute_force(spark):
 def test_stream_and_split_partition(spark):
     df, rows = _tokens(spark)
     flat = _flat(rows)
-    t = ds.token_offsets(df, buckets=4)
+    t = ds.token_offsets(df, bucket_keys=15)
     s = sorted((r.pos, r.id) for r in ds.token_stream(t).collect())
     assert [i for _, i in s] == flat and [p for p, _ in s] == list(range(len(flat)))
     idx = int(len(flat) * 0.9)
@@ -70,7 +70,7 @@ def test_sequential_blocks(spark):
 
 def test_dense_index_and_sampling(spark):
     df = spark.range(0, 1000, 7).withColumnRenamed("id", "k")
-    idx = sorted((r.k, r.row_index) for r in ds.dense_index(df, "k", buckets=3).collect())
+    idx = sorted((r.k, r.row_index) for r in ds.dense_index(df, "k", bucket_keys=50).collect())
     assert [i for _, i in idx] == list(range(len(idx)))
     a = ds.sample_without_replacement(df, 20, 3, "k").collect()
     assert len({r.k for r in a}) == 20
@@ -85,12 +85,50 @@ def test_context_tail(spark):
 
 
 def test_offsets_with_clustered_keys(spark):
-    # most keys packed in a narrow range, a few far away: buckets come from quantiles
+    # most keys packed in a narrow range, a few far away
     keys = list(range(1000)) + [10**12, 10**12 + 5, 2 * 10**12]
     rows = [(k, list(range(k % 7))) for k in keys]
     df = spark.createDataFrame(rows, "doc_id long, ids array<int>")
-    off = {r.doc_id: r.start_pos for r in ds.token_offsets(df, buckets=16).collect()}
+    off = {r.doc_id: r.start_pos for r in ds.token_offsets(df, bucket_keys=64).collect()}
     pos = 0
     for k, ids in sorted(rows):
         assert off[k] == pos
         pos += len(ids)
+
+
+def test_offsets_with_null_negative_and_hashed_keys(spark):
+    rows = [(None, [1, 2])] + [(k, list(range(abs(k) % 5))) for k in (-2**63, -7, 0, 3, 2**62, 2**62 + 1, 2**62 + 2, 2**63 - 1)]
+    df = spark.createDataFrame(rows, "doc_id long, ids array<int>")
+    for bucket_keys in (1, 3, 100):
+        got = {r.doc_id: (r.n_tokens, r.start_pos) for r in ds.token_offsets(df, bucket_keys=bucket_keys).collect()}
+        pos = 0
+        for k, ids in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+            assert got[k] == (len(ids), pos)
+            pos += len(ids)
+    hashed = spark.range(3000).selectExpr("xxhash64(id) AS doc_id", "array_repeat(1, cast(id % 4 AS int)) AS ids")
+    off = ds.token_offsets(hashed, bucket_keys=100)
+    rows = sorted((r.start_pos, r.n_tokens) for r in off.collect())
+    assert len(rows) == 3000 and max(s + n for s, n in rows) == sum(n for _, n in rows) == 4500
+
+
+def test_repeated_keys_are_told(spark):
+    df = spark.createDataFrame([(1, [1]), (1, [2])], "doc_id long, ids array<int>")
+    with pytest.raises(Exception, match="repeated key"):
+        ds.token_offsets(df).collect()
+
+
+def test_tokens_pass_through_no_window(spark):
+    df, _ = _tokens(spark)
+    plan = ds.token_offsets(df)._jdf.queryExecution().optimizedPlan()
+
+    def windows(node):
+        own = [node] if node.nodeName() == "Window" else []
+        children = node.children()
+        return own + [w for k in range(children.size()) for w in windows(children.apply(k))]
+
+    found = windows(plan)
+    assert found
+    for w in found:
+        output = w.output()
+        names = {output.apply(k).name() for k in range(output.size())}
+        assert "ids" not in names and "doc_id" not in names

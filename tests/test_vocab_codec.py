@@ -33,13 +33,13 @@ def test_hello_world_roundtrip_and_unknowns(spark):
     assert dec.first().t == chars[0] + chars[1]
 
 
-def test_encode_table_matches_expression(spark):
-    docs = spark.read.parquet(f"{SF001}/documents.parquet").limit(20)
-    vocab = vb.char_vocab(docs)
-    codec = vb.CharCodec(vocab)
-    a = {r.doc_id: r.ids for r in docs.select("doc_id", codec.encode(F.col("text")).alias("ids")).collect()}
-    b = {r.doc_id: r.ids for r in codec.encode_table(docs, vocab).select("doc_id", "ids").collect()}
-    assert a == b
+def test_every_character_has_one_path(spark):
+    texts = ["a\U0001F600b", "\U0010FFFF\u4e2d é", "", "\U00020001\U0001F600"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    codec = vb.CharCodec(vb.char_vocab(df))
+    chars = sorted(set("".join(texts)))
+    got = {r.doc_id: (r.ids, r.back) for r in df.select("doc_id", codec.encode(F.col("text")).alias("ids"), codec.decode(codec.encode(F.col("text"))).alias("back")).collect()}
+    assert got == {i: ([chars.index(c) for c in t], t) for i, t in enumerate(texts)}
 
 
 def test_vocab_json_roundtrip(spark, tmpdir_fresh):

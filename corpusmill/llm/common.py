@@ -11,8 +11,15 @@ from pyspark.sql import functions as F
 from corpusmill.session import checkpoint_dir
 
 
+#: Rows in a batch that Spark hands to Python: texts may be long, so few of them.
+BATCH_ROWS = 2500
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables, whole."""
+    """One of the given tables, whole; sets the batch size for what follows."""
+    conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(conf)) > BATCH_ROWS:
+        spark.conf.set(conf, str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

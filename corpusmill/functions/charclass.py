@@ -22,22 +22,22 @@ STRICT_ALLOWED = (
 )
 # Emoji ranges, each run of them becomes one space.
 EMOJI_RANGES = [
-    (0x1F600, 0x1F64F),  # emoticons
-    (0x1F300, 0x1F5FF),  # symbols & pictographs
-    (0x1F680, 0x1F6FF),  # transport & map symbols
-    (0x1F1E0, 0x1F1FF),  # flags
-    (0x2702, 0x27B0),    # dingbats
-    (0x24C2, 0x1F251),   # enclosed characters
+    (0x1F600, 0x1F64F),
+    (0x1F300, 0x1F5FF),
+    (0x1F680, 0x1F6FF),
+    (0x1F1E0, 0x1F1FF),
+    (0x2702, 0x27B0),
+    (0x24C2, 0x1F251),
 ]
 # CJK ranges, each run of them becomes one space.
 CJK_RANGES = [
-    (0x4E00, 0x9FFF),    # CJK unified ideographs
-    (0x3400, 0x4DBF),    # CJK extension A
-    (0x20000, 0x2A6DF),  # CJK extension B
-    (0xF900, 0xFAFF),    # CJK compatibility ideographs
-    (0x3040, 0x309F),    # Hiragana
-    (0x30A0, 0x30FF),    # Katakana
-    (0xAC00, 0xD7AF),    # Hangul
+    (0x4E00, 0x9FFF),
+    (0x3400, 0x4DBF),
+    (0x20000, 0x2A6DF),
+    (0xF900, 0xFAFF),
+    (0x3040, 0x309F),
+    (0x30A0, 0x30FF),
+    (0xAC00, 0xD7AF),
 ]
 # Rare block replaced by a space in lenient mode, and the Latin-1 limit of balanced mode.
 RARE_RANGE = (0x2000, 0x2BFF)

@@ -104,4 +104,4 @@ def clean(c, mode: str = "balanced") -> Column:
     try:
         return _DISPATCH[mode](c)
     except KeyError:
-        raise ValueError(f"Unknown mode: {mode}") from None
+        raise ValueError(f"cleaning mode {mode!r} is none of {sorted(_DISPATCH)}") from None

@@ -14,6 +14,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
+
 import functools
 from dataclasses import dataclass, field
 
@@ -139,6 +142,9 @@ def pair_counts(syms: DataFrame) -> DataFrame:
 
 
 TOP_CANDIDATES = 512
+#: Words whose ids an encoding task keeps, and their length at most.
+CACHED_WORDS = 200_000
+CACHED_LENGTH = 64
 
 
 def _candidates(syms: DataFrame, k: int) -> tuple[list, int]:
@@ -223,12 +229,15 @@ def learn_bpe(df: DataFrame, text_col: str = "text", vocab_size: int = 32000, mi
             since += 1
             if not fresh:
                 break  # an existing symbol gains occurrences: later candidates are not bounded
-        # one projection per round, cached: the next round reads the merged words
-        # from memory instead of replaying the merges since the last checkpoint
-        prev, syms = syms, syms.select(sym.alias("sym"), "n").cache()
+        # the merged words are materialised before the table they come from is
+        # released, so no round replays the merges of earlier ones
+        prev, syms = syms, syms.select(sym.alias("sym"), "n")
         if since >= checkpoint_every:
             syms = syms.where(live).repartition(parts, "sym").checkpoint()
             since = 0
+        else:
+            syms = syms.cache()
+            syms.count()
         prev.unpersist()
     syms.unpersist()
     return model
@@ -238,26 +247,29 @@ def learn_bpe(df: DataFrame, text_col: str = "text", vocab_size: int = 32000, mi
 
 def _merge_word(ids: list, ranks: dict) -> list:
     """Apply merges to one word: repeatedly merge every occurrence (left to
-    right, non-overlapping) of the lowest-ranked adjacent pair present."""
-    while len(ids) > 1:
-        best = None
-        for i in range(len(ids) - 1):
-            m = ranks.get((ids[i], ids[i + 1]))
-            if m is not None and (best is None or m[0] < best[0]):
-                best = m
-        if best is None:
-            return ids
-        _, a, b, new = best
-        out, i = [], 0
-        while i < len(ids):
-            if i + 1 < len(ids) and ids[i] == a and ids[i + 1] == b:
-                out.append(new)
-                i += 2
-            else:
-                out.append(ids[i])
-                i += 1
-        ids = out
-    return ids
+    right, non-overlapping) of the lowest-ranked adjacent pair present.
+
+    A heap of pairs over linked symbols: a long word costs n log n."""
+    ids, n = list(ids), len(ids)
+    left, right = list(range(-1, n - 1)), [*range(1, n), -1]
+    heap = [(m[0], i) for i in range(n - 1) if (m := ranks.get((ids[i], ids[i + 1])))]
+    heapify(heap)
+    while heap:
+        rank, touched = heap[0][0], set()
+        while heap and heap[0][0] == rank:  # all occurrences of this pair, before any new pair
+            i = heappop(heap)[1]
+            j = right[i]
+            m = ranks.get((ids[i], ids[j])) if ids[i] is not None and j >= 0 else None
+            if m is None or m[0] != rank:
+                continue  # one of its symbols has gone
+            ids[i], ids[j], right[i] = m[3], None, right[j]
+            if right[j] >= 0:
+                left[right[j]] = i
+            touched |= {i, left[i]}
+        for i in touched:
+            if i >= 0 and ids[i] is not None and right[i] >= 0 and (m := ranks.get((ids[i], ids[right[i]]))):
+                heappush(heap, (m[0], i))
+    return [x for x in ids if x is not None]
 
 
 def _encoder(model: BpeModel):
@@ -266,8 +278,7 @@ def _encoder(model: BpeModel):
     unk = SPECIALS.index(UNK)
     special_ids = {s: i for i, s in enumerate(SPECIALS)}
 
-    def encode_words(words) -> list:
-        cache: dict = {}
+    def encode_words(words, cache: dict) -> list:
         out: list = []
         for w in words:
             ids = cache.get(w)
@@ -277,7 +288,8 @@ def _encoder(model: BpeModel):
                 else:
                     sym = [byte_ids[b] if byte_ids[b] is not None else unk for b in w.encode("utf-8")]
                     ids = _merge_word(sym, ranks)
-                cache[w] = ids
+                if len(cache) < CACHED_WORDS and len(w) <= CACHED_LENGTH:
+                    cache[w] = ids
             out.extend(ids)
         return out
 
@@ -297,16 +309,24 @@ def special_aware_pretokens(c) -> Column:
         F.when(e["s"].isNotNull(), F.array(e["s"])).otherwise(F.array().cast("array<string>")))))
 
 
-def bpe_encode(df: DataFrame, model: BpeModel, text_col: str = "text", out_col: str = "ids") -> DataFrame:
-    """Token ids per row (E7): narrow, no shuffle.  The merge table (bounded by
-    the vocabulary size) travels inside the UDF closure, once per executor."""
+def bpe_encoder(model: BpeModel):
+    """A column function from text to token ids.  The merge table (bounded by the
+    vocabulary size) travels inside the UDF closure; a task keeps the ids of up to
+    ``CACHED_WORDS`` words over all of its batches."""
     enc = _encoder(model)
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def _encode(tokens: pd.Series) -> pd.Series:
-        return pd.Series([None if t is None else enc(t) for t in tokens])
+    def _encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        cache: dict = {}
+        for tokens in batches:
+            yield pd.Series([None if t is None else enc(t, cache) for t in tokens])
+
+    return lambda text: _encode(special_aware_pretokens(text))
 
-    return df.withColumn(out_col, _encode(special_aware_pretokens(text_col)))
+
+def bpe_encode(df: DataFrame, model: BpeModel, text_col: str = "text", out_col: str = "ids") -> DataFrame:
+    """Token ids per row (E7): narrow, no shuffle."""
+    return df.withColumn(out_col, bpe_encoder(model)(text_col))
 
 
 def bpe_decode(model: BpeModel, ids) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from corpusmill.functions import cleaning as cl
 from corpusmill.operators import bpe
 from corpusmill.operators import vocab as vb
+from corpusmill.session import checkpoint_dir
 from corpusmill.sources import corpus as io
 
 
@@ -24,6 +25,7 @@ def prepare_token_dataset(spark: SparkSession, docs: DataFrame, out_dir: str, ou
     both the vocabulary and the encoder); no temporary file is left behind.
     Returns the manifest row.
     """
+    checkpoint_dir(spark)
     d = docs.select(key, text_col)
     if clean_mode:
         d = d.withColumn(text_col, cl.clean(F.col(text_col), clean_mode)).checkpoint()
@@ -37,7 +39,7 @@ def prepare_token_dataset(spark: SparkSession, docs: DataFrame, out_dir: str, ou
         io.save_vocab(vocab, os.path.join(out_dir, "tokenizer.json"))
         codec = vb.CharCodec(vocab)
         tokens = d.select(key, codec.encode(F.col(text_col)).alias("ids"))
-        size, tok_file, dtype = codec.size, "tokenizer.json", "int16"
+        size, tok_file, dtype = codec.size, "tokenizer.json", "int16" if codec.size <= 1 << 15 else "int32"
     else:
         raise ValueError(f"unknown tokenizer type: {tokenizer}")
     tok_path = os.path.join(out_dir, output_name)
@@ -55,6 +57,6 @@ def load_codec(spark: SparkSession, manifest_row, out_dir: str):
     kind = (manifest_row["tokenizer_type"] if manifest_row is not None else None) or "character"
     if kind == "bpe":
         model = io.load_bpe(spark, os.path.join(out_dir, "bpe_tokenizer"))
-        return None, (lambda ids: bpe.bpe_decode(model, ids))
+        return bpe.bpe_encoder(model), (lambda ids: bpe.bpe_decode(model, ids))
     codec = vb.CharCodec(io.load_vocab(spark, os.path.join(out_dir, "tokenizer.json")))
     return codec.encode, codec.decode

@@ -51,7 +51,8 @@ def compression_report(spark, sf):
 
 def _manifest(spark, sf):
     docs = table(spark, sf, "documents")
-    size = docs.select(F.col("_metadata.file_size")).limit(1).first()[0]
+    files = docs.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size")).distinct()
+    size = files.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     vocab_size = vb.char_vocab(docs).count()
     return io.dataset_manifest(char_tokens(spark, sf), vocab_size, tokenizer_type="character", dtype="int16",
                                source_file=_docs_path(sf), source_size_bytes=size, output_name="documents",

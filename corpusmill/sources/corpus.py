@@ -207,7 +207,7 @@ def load_vocab(spark: SparkSession, path: str) -> DataFrame:
 
 def save_bpe(spark: SparkSession, model: bpe_ops.BpeModel | None, path: str) -> None:
     if model is None or not model.tokens:
-        raise ValueError("Tokenizer not initialized.")
+        raise ValueError("no learned model to save")
     model.vocab_df(spark).coalesce(1).write.mode("overwrite").parquet(path.rstrip("/") + "/vocab")
     model.merges_df(spark).coalesce(1).write.mode("overwrite").parquet(path.rstrip("/") + "/merges")
 
@@ -220,7 +220,7 @@ def load_bpe(spark: SparkSession, path: str) -> bpe_ops.BpeModel:
         m = spark.read.parquet(path.rstrip("/") + "/merges").orderBy("rank").collect()
     except Exception as e:  # noqa: BLE001 - Spark reports a missing path as AnalysisException
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            raise FileNotFoundError(f"Tokenizer file not found: {path}") from None
+            raise FileNotFoundError(f"no saved model at {path}") from None
         raise
     tokens = [bytes.fromhex(r["token_hex"]).decode("utf-8") if r["is_special"] else bytes.fromhex(r["token_hex"])
               for r in v]

@@ -66,3 +66,41 @@ def test_fixture_anchors_sf0001(spark):
     assert first == ["t h", "Ġ th", "Ġ e", "o n", "i n", "r e", "Ġ a", "t i"]
     n = bpe.bpe_encode(docs, m).agg(F.sum(F.size("ids"))).first()[0]
     assert n == 214273
+
+
+def test_long_words_merge_like_short_ones():
+    import random
+
+    rng = random.Random(3)
+    for _ in range(200):
+        ranks, nxt = {}, 4
+        for r in range(12):
+            a, b = rng.randrange(nxt), rng.randrange(nxt)
+            if (a, b) not in ranks:
+                ranks[a, b] = (r, a, b, nxt)
+                nxt += 1
+        ids = [rng.randrange(4) for _ in range(rng.randrange(0, 40))]
+        want = list(ids)
+        while found := [ranks[p] for p in zip(want, want[1:]) if p in ranks]:  # one merge of all occurrences at a time
+            _, a, b, new = min(found)
+            out, i = [], 0
+            while i < len(want):
+                both = want[i:i + 2] == [a, b]
+                out.append(new if both else want[i])
+                i += 2 if both else 1
+            want = out
+        assert bpe._merge_word(ids, ranks) == want
+    assert len(bpe._merge_word([0] * 20_000, {(0, 0): (0, 0, 0, 1), (1, 1): (1, 1, 1, 2)})) == 5000
+
+
+def test_saved_model_encodes_through_the_dispatch(spark, tmpdir_fresh):
+    from corpusmill.plans import prepare
+    from corpusmill.sources import corpus as io
+
+    docs = spark.createDataFrame([(1, "ab ab cd cd ef"), (2, "ab cd")], "doc_id long, text string")
+    model = bpe.learn_bpe(docs, vocab_size=100)
+    io.save_bpe(spark, model, tmpdir_fresh + "/bpe_tokenizer")
+    encode, decode = prepare.load_codec(spark, {"tokenizer_type": "bpe"}, tmpdir_fresh)
+    got = docs.select("doc_id", "text", encode("text").alias("ids")).withColumn("back", decode("ids")).collect()
+    want = {r.doc_id: r.ids for r in bpe.bpe_encode(docs, model).collect()}
+    assert {r.doc_id: r.ids for r in got} == want and all(r.back == r.text for r in got)

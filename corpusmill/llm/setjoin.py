@@ -9,6 +9,8 @@ with more than H non-empty segments share a whole segment's subset.  Hence:
 * every set signs each non-empty segment's subset in its own band's scheme; a set
   so large that a partner may lie in the next band also signs there, where it
   needs only H + 1 segments plus the band's allowance (the larger partner signs all);
+* linked sets share at least as many subsets as a set has non-empty segments beyond H,
+  so a set with fewer shared ones has no link and is dropped;
 * cost-based allocation: a set with more non-empty segments than H + 1 gives up its
   costliest ones - those with most sets, counted over the whole corpus - up to the
   band's allowance; the cheapest subset that two linked sets share always stays;
@@ -17,13 +19,16 @@ with more than H non-empty segments share a whole segment's subset.  Hence:
   if even that is short of H + 1 (a freak of hashing), it signs each token.
 
 Groups of one signature are not expanded into pairs.  Each is compared with one
-hub (its smallest member); verified links are joined to components, and only
-groups that still span several components compare members of different ones,
-where the triangle inequality of the Jaccard distance, seen from the hub, and the
-sizes leave a pair possible.  Every link is verified on the full sets.
+hub, its member with most shared subsets - of many edited copies, the original.
+Verified links are joined to components, and only groups that still span several
+components compare members of different ones, where a pair can link at all: by the
+sizes, by the triangle inequality of the Jaccard distance seen from the hub, by the
+tokens that a set shares with any other member of open groups, which bound its
+intersections, and by parity sketches, which bound the difference of a pair from
+below.  Every link is verified on the full sets.
 
 Scale: one shuffle of signatures (about 0.6 for each shingle).  A subset that more
-than ``HOT`` texts of one batch share is dealt out by text instead of meeting in
+than ``HOT`` of ``SIGNED`` texts share is dealt out by text instead of meeting in
 one task, and later steps count with map-side sums and join with skew splitting.
 Copies are one node, known by a 128-bit digest of the set; a task signs it once.
 Sets are recomputed from the texts for candidate nodes only: their keys are
@@ -51,12 +56,19 @@ from corpusmill.llm import textarrays as ta
 from corpusmill.llm.common import stored
 from corpusmill.llm.graph import components
 
-#: Texts of one batch that may share a signature before it is dealt out by text.
+#: Texts that a task signs at once.
+SIGNED = 2000
+#: Of these, those that may share a signature before it is dealt out by text.
 HOT = 64
 #: Keys of candidate sets that are broadcast at most (32 MB).
 BROADCAST_KEYS = 4_000_000
-_HOT, _MARK = 1 << 30, 1 << 29
+#: A signature's tag: how many may be given up, how many must be shared, the scheme, and two marks.
+_SPARE, _NEED, _NEXT, _HOT, _MARK = (1 << 11) - 1, (1 << 13) - 1, 1 << 24, 1 << 30, 1 << 29
 
+#: Bits of a sketch: for sets of up to about this many tokens they tell near pairs from others.
+SKETCH_BITS = 1024
+#: Members of a group that are compared with as many others at once, on average.
+BLOCK = 256
 _u = np.uint64
 
 
@@ -108,7 +120,7 @@ def _key(d: bytes) -> int:
 
 
 def signatures(s: np.ndarray, rule: Rule) -> list[tuple[np.ndarray, int]]:
-    """``(signatures, how many of the costliest may be given up)`` of a set, by scheme."""
+    """``(signatures, tag)`` of a set, by scheme."""
     size, out = len(s), []
     own, most = rule.band(size), rule.largest_partner(size)
     for band in (own, own + 1):
@@ -128,17 +140,20 @@ def signatures(s: np.ndarray, rule: Rule) -> list[tuple[np.ndarray, int]]:
         exact = ta.mix(sums ^ place)
         spare = len(first) - bound - 1
         if spare >= 0:
-            spare = min(spare, rule.allowance(band))
+            spare = min(spare, rule.allowance(band), _SPARE)
             if band > own:
                 exact = np.sort(exact)[:bound + 1 + spare]
-            out.append((exact, spare))
+            # a smaller partner signs only as many in this scheme as to share one more than the allowance
+            need = min(len(exact) - bound, rule.allowance(band) + 1, _NEED)
+            out.append((exact, spare | need << 11 | (_NEXT if band > own else 0)))
             continue
         near = ta.mix(sums + place)  # one-deletion neighbourhoods
         wide = np.repeat(count > 1, count)
         less = ta.mix((np.repeat(sums, count) - tokens)[wide] + np.repeat(place, count)[wide])
-        out.append((np.unique(np.concatenate((exact, near, less))), 0))
+        tag = 1 << 11 | (_NEXT if band > own else 0)
+        out.append((np.unique(np.concatenate((exact, near, less))), tag))
         if (count == 1).sum() + 2 * (count > 1).sum() <= bound:
-            out.append((ta.mix(tokens ^ _u(0xA0761D6478BD642F)), 0))
+            out.append((ta.mix(tokens ^ _u(0xA0761D6478BD642F)), tag))
     return out
 
 
@@ -156,20 +171,33 @@ def _membership(docs: DataFrame, rule: Rule) -> DataFrame:
     return stored(docs.mapInArrow(run, f"id {kind}, size long, digest binary"), "setjoin-members")
 
 
+def _regrouped(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Array]:
+    """The texts of the batches in pieces of ``rows``, whatever size batches have."""
+    held: list[pa.Array] = []
+    for b in batches:
+        for k in range(0, b.num_rows, rows):
+            held.append(b.column("text").slice(k, rows))
+            if sum(map(len, held)) >= rows:
+                yield pa.concat_arrays(held)
+                held = []
+    if held:
+        yield pa.concat_arrays(held)
+
+
 def _shared_signatures(docs: DataFrame, rule: Rule, hot: int) -> DataFrame:
-    """``(sig, node, spare)`` for every signature that two or more sets have."""
+    """``(sig, node, tag)`` for every signature that two or more sets have."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for b in batches:
+        for text in _regrouped(batches, SIGNED):
             sigs, nodes, tags = [], [], []
-            for _, s in shingle_sets(b.column("text"), rule.n):
+            for _, s in shingle_sets(text, rule.n):
                 if len(s) < 2 or (key := _key(digest(s))) in seen:
                     continue
                 seen.add(key)
-                for x, spare in signatures(s, rule):
+                for x, tag in signatures(s, rule):
                     sigs.append(x)
                     nodes.append(np.full(len(x), key, dtype=np.int64))
-                    tags.append(np.full(len(x), spare, dtype=np.int32))
+                    tags.append(np.full(len(x), tag, dtype=np.int32))
             if not sigs:
                 continue
             sig, node, tag = np.concatenate(sigs).view(np.int64), np.concatenate(nodes), np.concatenate(tags)
@@ -191,7 +219,7 @@ def _shared_signatures(docs: DataFrame, rule: Rule, hot: int) -> DataFrame:
         if not parts:
             return
         sig, node, tag = (np.concatenate([p[k] for p in parts]) for k in range(3))
-        del parts
+        parts.clear()
         dealt = (tag & _HOT) != 0  # part of a large group, whose other members may be elsewhere
         rows = [(sig[dealt], node[dealt], tag[dealt] & ~_HOT)]
         sig, node, tag = sig[~dealt], node[~dealt], tag[~dealt]
@@ -211,26 +239,30 @@ def _shared_signatures(docs: DataFrame, rule: Rule, hot: int) -> DataFrame:
             for k in range(0, len(s), 200_000):
                 at = slice(k, k + 200_000)
                 yield pa.RecordBatch.from_arrays([pa.array(s[at]), pa.array(n[at]), pa.array(t[at].astype(np.int32))],
-                                                 names=["sig", "node", "spare"])
+                                                 names=["sig", "node", "tag"])
 
     signed = docs.select("text").mapInArrow(sign, "sig long, node long, tag int")
     salt = F.when(F.col("tag").bitwiseAND(F.lit(_HOT)) != 0, F.col("node")).otherwise(F.lit(0).cast("long"))
-    return stored(signed.repartition("sig", salt).mapInArrow(share, "sig long, node long, spare int"), "setjoin-shared")
+    parts = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a task holds its share in memory
+    return stored(signed.repartition(parts, "sig", salt).mapInArrow(share, "sig long, node long, tag int"), "setjoin-shared")
 
 
 def _allocated(shared: DataFrame) -> DataFrame:
-    """``(sig, node)`` without those that a set gives up as too costly, of groups of two or more."""
-    rows = shared.groupBy("sig", "node").agg(F.min("spare").alias("spare"))
+    """``(sig, node, have)``: the signatures through which a set may have a link, without
+    those that it gives up as too costly; ``have`` is its number of shared ones."""
+    rows = shared.groupBy("sig", "node").agg(F.min("tag").alias("tag"))
     cost = rows.groupBy("sig").agg(F.count("*").alias("cost"))
     # a node's rows are bounded by its own size; the total order is the same for all nodes
-    dear = Window.partitionBy("node", "spare").orderBy(F.desc("cost"), "sig")
-    kept = (rows.join(cost, "sig").withColumn("place", F.row_number().over(dear))
-            .where(F.col("place") > F.col("spare")).select("sig", "node"))
+    own = Window.partitionBy("node", "tag")
+    place = F.row_number().over(own.orderBy(F.desc("cost"), "sig"))
+    kept = (rows.join(cost, "sig").where("cost > 1").withColumns({"place": place, "have": F.count("*").over(own).cast("int")})
+            .where((F.col("place") > F.col("tag").bitwiseAND(F.lit(_SPARE)))
+                   & (F.col("have") >= F.shiftright("tag", 11).bitwiseAND(F.lit(_NEED)))).select("sig", "node", "have"))
     return stored(kept, "setjoin-kept")
 
 
 def _sets(docs: DataFrame, rule: Rule, wanted: DataFrame, broadcast_keys: int) -> DataFrame:
-    """``(node, digest, set)`` of the wanted nodes, each digest once."""
+    """``(node, digest, set, sketch)`` of the wanted nodes, each digest once."""
     spark, few = docs.sparkSession, wanted.count() <= broadcast_keys
     keys = spark.sparkContext.broadcast(np.array(sorted(r.node for r in wanted.toLocalIterator()), dtype=np.int64)) if few else None
 
@@ -256,16 +288,26 @@ def _sets(docs: DataFrame, rule: Rule, wanted: DataFrame, broadcast_keys: int) -
             if names:
                 yield _set_batch(names, sets)
 
-    found = docs.select("text").mapInArrow(run, "node long, digest binary, set binary")
+    found = docs.select("text").mapInArrow(run, "node long, digest binary, set binary, sketch array<long>")
     if not few:
         found = found.join(wanted, "node", "left_semi")
     # equal digests have equal sets: keep any one
     return stored(found.dropDuplicates(["digest"]), "setjoin-sets")
 
 
+def sketch(s: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
+    """A bit for each hash bucket: whether an odd number of tokens falls there.
+
+    Two sketches differ in at most as many bits as their sets do in tokens.
+    """
+    place = (ta.mix(s ^ _u(0x2545F4914F6CDD1D)) >> _u(64 - bits.bit_length() + 1)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=bits) & 1).astype(bool)).view(np.int64)
+
+
 def _set_batch(names: list[bytes], sets: list[bytes]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([_key(d) for d in names], pa.int64()), pa.array(names, pa.binary()),
-                                       pa.array(sets, pa.binary())], names=["node", "digest", "set"])
+    sketches = [sketch(np.frombuffer(s, dtype=np.uint64)) for s in sets]
+    return pa.RecordBatch.from_arrays([pa.array([_key(d) for d in names], pa.int64()), pa.array(names, pa.binary()), pa.array(sets, pa.binary()),
+                                       pa.array(sketches, pa.list_(pa.int64()))], names=["node", "digest", "set", "sketch"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
@@ -295,6 +337,67 @@ def _verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
         run, "a long, b long, a_digest binary, b_digest binary, shared long, total long")
 
 
+def _common_tokens(sets: DataFrame) -> DataFrame:
+    """``(node, size, common)``: of each set, its size and its tokens that another of the sets has.
+
+    No intersection with another of these sets is larger than ``common``.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for node, s in zip(b.column("node"), b.column("set"), strict=True):
+                tokens = np.frombuffer(s.as_buffer(), dtype=np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(tokens), node.as_py(), dtype=np.int64)), pa.array(tokens)],
+                                                 names=["node", "token"])
+
+    tokens = sets.select("node", "set").mapInArrow(run, "node long, token long")
+    often = tokens.groupBy("token").agg(F.count("*").alias("n")).withColumn("shared", (F.col("n") > 1).cast("int")).select("token", "shared")
+    return tokens.join(often, "token").groupBy("node").agg(F.count("*").alias("size"), F.sum("shared").alias("common"))
+
+
+def _possible(left: DataFrame, rule: Rule) -> DataFrame:
+    """``(a, b)`` with a < b: members of one group and of different components that may link.
+
+    Members are packed into blocks of about ``BLOCK``; a group's blocks are joined, and
+    two blocks are compared at once.  Those of a group's largest component meet members
+    of other components only, so a large family and its few outsiders cost little.
+    """
+    parts = left.groupBy("sig", "label").agg(F.count("*").alias("n"))
+    groups = (parts.groupBy("sig").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label"))["label"].alias("main"), F.count("*").alias("labels"))
+              .where("labels > 1").drop("labels"))
+    member = F.struct("node", "label", "far", "size", "common", "sketch")
+    rows = left.join(groups, "sig").withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / F.lit(float(BLOCK)))))
+    every = rows.groupBy("sig", "block").agg(F.collect_list(member).alias("y")).drop("block")
+    other = rows.where("label <> main").groupBy("sig", "block").agg(F.collect_list(member).alias("x")).drop("block")
+    limit = 1 - rule.percent / 100 + 1e-9
+
+    def columns(values: pa.Array) -> dict[str, np.ndarray]:
+        out = {k: values.field(k).to_numpy(zero_copy_only=False) for k in ("node", "label", "far", "size", "common")}
+        lines = values.field("sketch")
+        known = lines.is_valid().to_numpy(zero_copy_only=False)
+        out["sketch"] = np.zeros((len(lines), SKETCH_BITS // 64), dtype=np.uint64)
+        out["sketch"][known] = lines.drop_null().flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, SKETCH_BITS // 64)
+        out["known"] = known
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            pairs: set[tuple[int, int]] = set()
+            for one, two in zip(b.column("x"), b.column("y"), strict=True):
+                x, y = columns(one.values), columns(two.values)
+                sizes = x["size"][:, None] + y["size"]
+                fit = ((x["label"][:, None] != y["label"])
+                       & ((100 + rule.percent) * np.minimum(x["common"][:, None], y["common"]) >= rule.percent * sizes)
+                       & ~(np.abs(x["far"][:, None].astype(float) - y["far"].astype(float)) > limit))
+                i, j = np.nonzero(fit)
+                apart = np.bitwise_count(x["sketch"][i] ^ y["sketch"][j]).sum(axis=1, dtype=np.int64)
+                near = ((100 + rule.percent) * apart <= (100 - rule.percent) * sizes[i, j]) | ~x["known"][i] | ~y["known"][j]
+                i, j = x["node"][i[near]], y["node"][j[near]]
+                pairs.update(zip(np.minimum(i, j).tolist(), np.maximum(i, j).tolist(), strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return other.join(every, "sig").select("x", "y").mapInArrow(run, "a long, b long").distinct()
+
+
 def _links(checked: DataFrame, rule: Rule) -> DataFrame:
     return checked.where(100 * F.col("shared") >= rule.percent * F.col("total"))
 
@@ -302,7 +405,8 @@ def _links(checked: DataFrame, rule: Rule) -> DataFrame:
 def link_nodes(docs: DataFrame, rule: Rule = Rule(), hot: int = HOT, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame | None:  # noqa: B008
     """``(a_digest, b_digest)`` links whose components are those of all links; ``docs`` has a ``text``."""
     kept = _allocated(_shared_signatures(docs, rule, hot))
-    hubs = kept.groupBy("sig").agg(F.min("node").alias("hub"), F.count("*").alias("many")).where("many > 1").drop("many")
+    most = F.max(F.struct("have", "node"))["node"]
+    hubs = kept.groupBy("sig").agg(most.alias("hub"), F.count("*").alias("many")).where("many > 1").drop("many")
     groups = stored(kept.join(hubs, "sig"), "setjoin-groups")
     sets = _sets(docs, rule, groups.select("node").distinct(), broadcast_keys)
     stars = groups.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
@@ -315,16 +419,16 @@ def link_nodes(docs: DataFrame, rule: Rule = Rule(), hot: int = HOT, broadcast_k
     # a member's distance from the hub; unseen pairs (sizes that can't link) have none
     distance = checked.select(F.col("a").alias("hub"), F.col("b").alias("node"), (1 - F.col("shared") / F.col("total")).alias("far"))
     open_sigs = named.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("sig")
-    size = sets.groupBy("node").agg(F.min(F.length("set") / 8).alias("size"))
-    left = stored(named.join(open_sigs, "sig").where("node <> hub").join(distance, ["hub", "node"], "left")
-                  .join(size, "node"), "setjoin-open")
-    x, y = left.alias("x"), left.alias("y")
-    limit = 1 - rule.percent / 100 + 1e-9
-    possible = ((F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label"))
-                & (100 * F.least("x.size", "y.size") >= rule.percent * F.greatest("x.size", "y.size"))
-                & F.coalesce(F.abs(F.col("x.far") - F.col("y.far")) <= limit, F.lit(True)))
-    rest = x.join(y, (F.col("x.sig") == F.col("y.sig")) & possible).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    rest = rest.join(checked.select("a", "b"), ["a", "b"], "left_anti")
+    left = stored(named.join(open_sigs, "sig").join(distance, ["hub", "node"], "left"), "setjoin-open")
+    bound = _common_tokens(sets.join(left.select("node").distinct(), "node", "left_semi"))
+    fit = (100 + rule.percent) * F.col("common") >= rule.percent * (F.col("size") + F.ceil(F.col("size") * rule.percent / 100))
+    # a key of several digests (a freak) has no sketch: nothing is ruled out for it
+    lines = sets.groupBy("node").agg(F.when(F.count("*") == 1, F.any_value("sketch")).alias("sketch"))
+    left = (left.where("node <> hub").join(bound.where(fit), "node").join(lines, "node")
+            .select("sig", "node", "label", "far", "size", "common", "sketch"))
+    rest = _possible(stored(left, "setjoin-rest"), rule)
+    done = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = rest.join(done, ["a", "b"], "left_anti")
     second = _links(_verified(rest, sets, rule), rule).select("a", "b", "a_digest", "b_digest")
     return stored(reduce(DataFrame.unionByName, (first, second)).select("a_digest", "b_digest").distinct(), "setjoin-links")
 

@@ -16,7 +16,10 @@ rendering for each number.  ``collisions`` checks it on a whole corpus.
 Scale: documents are only scanned; nothing is looked up or joined.  The collision
 check shuffles distinct entities, summed map-side.
 
-Defined results: a null text stays null, a text without entities is unchanged;
+Defined results: digits of every script count as digits: an entity is found, named and
+permuted by their values, and its surrogate has the script that each digit had.  An
+octet's leading zeros are no part of it.  A null text stays null, a text without
+entities is unchanged;
 overlapping matches go to the earliest, then longest, then the first type listed;
 repeated documents get equal texts.  Other columns pass through as they are; columns
 that share the name of a result column of ``annotate`` give way to it.
@@ -73,11 +76,25 @@ _COMPILED = {kind: re.compile(p) for kind, p in PATTERNS.items()}
 #: A text without any of these has no entity: one scan instead of eight.
 _HINT = re.compile(r"@|\d[\d .()-]{5}|[A-Za-z0-9]{20}|(?i:pass|token|secret|key)|\b(?:" + "|".join(map(re.escape, _TITLE)) + r")\b")
 
+#: A digit of another script than ASCII.
+_OTHER_DIGIT = re.compile(r"[^\D0-9]")
+
 _ENTITY = T.StructType([T.StructField("kind", T.StringType()), T.StructField("first", T.IntegerType()), T.StructField("last", T.IntegerType())])
 
 
+def _plain(text: str) -> str:
+    """The text with each digit as the ASCII digit of its value, at the same place."""
+    return text if text.isascii() else _OTHER_DIGIT.sub(lambda m: str(int(m[0])), text)
+
+
+def _in_script(ch: str, like: str) -> str:
+    """A digit in the script of the digit ``like``: the digits of a script lie in a row."""
+    return chr(ord(like) - int(like) + int(ch)) if ch in ALPHABETS[0] and like.isdecimal() else ch
+
+
 def find(text: str) -> list[tuple[int, int, str, str]]:
     """``(start, end, kind, gender)`` of the entities of a text, in order and disjoint."""
+    text = _plain(text)
     if not _HINT.search(text):
         return []
     found = []
@@ -180,6 +197,17 @@ def _ip(value: str, key: bytes) -> str:
     return ".".join(str(n >> s & 255) for s in (24, 16, 8, 0))
 
 
+def _as_written(new: str, value: str, kind: str) -> str:
+    """The surrogate ``new`` with its digits in the scripts of those of ``value``."""
+    if kind == "ip":  # octets may differ in length: each has the script of its first digit
+        return ".".join("".join(_in_script(ch, old[0]) for ch in octet) for octet, old in zip(new.split("."), value.split("."), strict=True))
+    if len(new) == len(value):
+        return "".join(map(_in_script, new, value))
+    # lower case can be longer: digits stay digits, in order
+    like = iter(ch for ch in value if ch.isdecimal())
+    return "".join(_in_script(ch, next(like)) if ch in ALPHABETS[0] else ch for ch in new)
+
+
 def _phone(value: str, key: bytes) -> str:
     digits = "".join(re.findall(r"[0-9]", value))
     lead = digits[:-10]  # the country code, so that national and international forms agree
@@ -237,6 +265,9 @@ def _name_parts(value: str, gender: str) -> list[tuple[str, str]]:
 @lru_cache(maxsize=100_000)
 def surrogate(value: str, kind: str, gender: str, key: bytes) -> str:
     """The replacement of an entity; equal entities in other spellings get matching ones."""
+    plain = _plain(value)
+    if plain != value and kind != "name":
+        return _as_written(surrogate(plain, kind, gender, key), value, kind)
     if kind == "email":
         return _email(value, key)
     if kind == "ip":
@@ -258,6 +289,9 @@ def surrogate(value: str, kind: str, gender: str, key: bytes) -> str:
 
 def canonical(value: str, kind: str) -> str:
     """What spellings of one entity have in common."""
+    value = _plain(value)
+    if kind == "ip":
+        return ".".join(str(int(octet)) for octet in value.split("."))
     if kind in ("card", "ssn"):
         return "".join(re.findall(r"[0-9]", value))
     if kind == "phone":

@@ -97,3 +97,40 @@ def test_very_long_values():
         new, places = s.replaced(f"see {value} then", b"key")
         assert len(places) <= 1 and (value not in new) == bool(places) and new.endswith(" then")
         assert not places or places[0][0] == "name" or len(new) == len(value) + 9
+
+
+def in_script(text, zero):
+    return "".join(chr(ord(zero) + int(c)) if c in "0123456789" else c for c in text)
+
+
+@pytest.mark.parametrize("zero", ["\uff10", "\u0660", "\u0966", "\U0001d7ce"])
+def test_digits_of_other_scripts_are_digits(zero):
+    cases = {**CASES, "email": ["hein.19@mail5.example.com", "\u0130x7@MAIL.com"], "ip": ["227.5.221.1", "1.2.3.4", "255.255.255.255"],
+             "secret": CASES["secret"] + ["a1" * 16]}
+    cases["card"] = [*cases["card"], "9784101010014"]
+    for kind, values in cases.items():
+        for plain in values:
+            value = in_script(plain, zero)
+            (start, end, got, _), = s.find(f"see {value}, then")
+            assert (got, f"see {value}, then"[start:end]) == (kind, value)
+            new = s.surrogate(value, kind, "", b"key")
+            assert new != value and s.canonical(value, kind) == s.canonical(plain, kind)
+            assert s._plain(new) == s.surrogate(plain, kind, "", b"key")
+            assert not re.search("[0-9]", new) or kind == "secret"
+    half = "4111 1111 " + in_script("1111 1111", zero)
+    new = s.surrogate(half, "card", "", b"key")
+    assert re.fullmatch(r"[0-9]{4} [0-9]{4} [^\D0-9]{4} [^\D0-9]{4}", new) and s._plain(new) == s.surrogate("4111 1111 1111 1111", "card", "", b"key")
+
+
+def test_spellings_of_one_entity_do_not_clash(spark):
+    ip = ["1.2.3.4", "1.02.3.04", "01.2.03.4", "\uff11.\uff12.\uff13.\uff14", "1.2.3.40"]
+    rows = [(k, f"from {v} on") for k, v in enumerate(ip)]
+    rows += [(10 + k, f"call {v} now, see {c}") for k, (v, c) in enumerate([("743-555-3824", "9784101010014"), (
+        in_script("743-555-3824", "\uff10"), in_script("9784101010014", "\u0660"))])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    ents = s.entities(df, KEY)
+    assert s.collisions(ents).count() == 0
+    assert {(r.kind, r.entity): r.many for r in ents.collect()} == {
+        ("ip", "1.2.3.4"): 4, ("ip", "1.2.3.40"): 1, ("phone", "7435553824"): 2, ("card", "9784101010014"): 2}
+    got = {r.doc_id: r.text for r in s.pseudonymise(df, KEY).collect()}
+    assert got[0] == got[1] == got[2] == s._plain(got[3]) != got[4] and all(got[k] != t for k, t in rows)

@@ -14,8 +14,8 @@ query names and whether it ends in a fragment; numbers become ``0``.
 Scale: DataFrame functions and JVM FP-growth only.  Verdicts are made for distinct
 token sets and joined back, so one host with a third of all pages costs one row; the
 join back is skewed on one side only and can be split.  Mined rules are a table,
-joined on the rarest token; frequent itemsets are bounded by the support, not by the
-number of URLs.  Given rules are a list in code, looked up by host suffix.
+joined on the rarest token; the least number of bad URLs is the same at every size, so
+frequent itemsets grow with the labelled URLs (README has the cost).  Given rules are a list in code, looked up by host suffix.
 
 Defined results: the host and path of a null URL, or one without ``://``, are empty;
 it has no tokens, and no rule fits.  A null label is no label; a URL with several
@@ -25,6 +25,7 @@ allows all.  Repeated rows get equal verdicts; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.fpm import FPGrowth
@@ -33,8 +34,9 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm.common import lower_ascii, stored
 
-#: A mined rule holds for this share of the labelled URLs at least, and for this many ...
-LEAST_SUPPORT, LEAST_COUNT = 0.001, 5
+#: A mined rule holds for this many bad URLs at least, however many are labelled.  A share of
+#: the labelled URLs can be asked for besides; there is none, as it would drop hosts as the input grows ...
+LEAST_SUPPORT, LEAST_COUNT = 0.0, 5
 #: ... and this share of those with its tokens are bad.
 LEAST_CONFIDENCE = 0.5
 _BAD = "=bad"
@@ -81,8 +83,9 @@ def mine(labelled: DataFrame, least_support: float = LEAST_SUPPORT, least_count:
          least_confidence: float = LEAST_CONFIDENCE) -> DataFrame:
     """``(rule, items, rarest, confidence, support)`` from ``labelled`` (``url``, ``bad``).
 
-    FP-growth needs no token that nearly every URL has, nor one below the support; it
-    reads the rest of each URL's tokens and the mark of a bad one.
+    A rule needs ``least_count`` bad URLs, the same at every size.  Each of its tokens is
+    then in so many bad URLs; FP-growth reads only these tokens of each URL, and the mark
+    of a bad one.
     """
     spark = labelled.sparkSession
     known = stored(labelled.where("bad IS NOT NULL").select(tokens(F.col("url")).alias("tokens"), "bad"), "labelled-urls")
@@ -90,13 +93,22 @@ def mine(labelled: DataFrame, least_support: float = LEAST_SUPPORT, least_count:
     schema = "rule string, items array<string>, rarest string, confidence double, support double"
     if not count:
         return spark.createDataFrame([], schema)
-    support = max(least_support, least_count / count)
-    if support > 1:
+    least = max(least_count, math.ceil(round(least_support * count, 6)), 1)
+    if least > count:
         return spark.createDataFrame([], schema)
-    baskets = known.select(F.when(F.col("bad"), F.array_append("tokens", F.lit(_BAD))).otherwise(F.col("tokens")).alias("items")).where("size(items) > 0")
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=least_confidence).fit(baskets)
+    numbered = known.withColumn("row", F.monotonically_increasing_id())
+    each = numbered.select("row", "bad", F.explode("tokens").alias("token"))
+    usable = each.where("bad").groupBy("token").count().where(F.col("count") >= least).select("token")
+    kept = each.join(usable, "token").groupBy("row", "bad").agg(F.collect_list("token").alias("tokens"))
+    baskets = stored(kept.select(F.when(F.col("bad"), F.array_append("tokens", F.lit(_BAD))).otherwise(F.col("tokens")).alias("items")), "url-baskets")
+    of = baskets.count()
+    if of < least:
+        return spark.createDataFrame([], schema)
+    # FP-growth rounds the product with the number of baskets up: half a basket less gives ``least`` exactly
+    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / of, minConfidence=least_confidence,
+                     numPartitions=int(spark.conf.get("spark.sql.shuffle.partitions"))).fit(baskets)
     found = stored(model.associationRules.where(F.array_contains("consequent", _BAD)).select(
-        F.array_sort("antecedent").alias("items"), F.round("confidence", 9).alias("confidence"), F.round("support", 9).alias("support")), "url-rules")
+        F.array_sort("antecedent").alias("items"), F.round("confidence", 9).alias("confidence"), F.round(F.col("support") * of / count, 9).alias("support")), "url-rules")
     often = model.freqItemsets.where("size(items) = 1").select(F.col("items")[0].alias("token"), "freq")
     ranked = (found.withColumn("token", F.explode("items")).join(often, "token")
               .groupBy("items", "confidence", "support").agg(F.min(F.struct("freq", "token"))["token"].alias("rarest"))

@@ -146,6 +146,14 @@ def test_mined_rules_equal_brute_force(spark):
         assert (r.verdict == "block") == any(k <= toks[rows[r.page_id][0]] for k in want)
 
 
+def test_support_is_the_same_at_every_size(spark):
+    rows = [(f"http://{h}.example.com/{k}", True) for h, n in (("rare", 5), ("rarer", 4)) for k in range(n)]
+    for more in (100, 8000):
+        df = spark.createDataFrame(rows + [(f"http://good.example.com/{k}", False) for k in range(more)] + [(None, False)] * 50, "url string, bad boolean")
+        rules = {tuple(r["items"]): r.support for r in urlrules.mine(df).collect()}
+        assert set(rules) == {("h:rare",)} and rules["h:rare",] == round(5 / (9 + more + 50), 9)
+
+
 # ---- backoff --------------------------------------------------------------------------------------------------------
 def brute_scores(rows):
     words = [[w for w in re.findall(r"[^\x20\x09-\x0D]+", re.sub(r"[A-Z]", lambda m: m.group(0).lower(), t or ""))] for _, t in rows]

@@ -186,3 +186,14 @@ def test_backoff_of_nothing(spark, empty):
     assert backoff.score(empty).count() == 0
     blank = spark.createDataFrame([(1, None), (2, " ")], "doc_id long, text string")
     assert [(r.n_words, r.n_pairs, r.score) for r in backoff.score(blank).collect()] == [(0, 0, None)] * 2
+
+
+def test_hot_pairs_meet_in_no_bucket(spark, monkeypatch):
+    rows = [(k, "no no " * 500 + f"a{k % 7} b") for k in range(12)] + [(12, "no"), (13, "b no a1 b")]
+    seen = spark.sparkContext.accumulator(0)
+    unpacked = backoff._unpacked
+    monkeypatch.setattr(backoff, "_unpacked", lambda columns: (lambda got: (seen.add(len(got[0])), got)[1])(unpacked(columns)))
+    got = [(r.doc_id, r.n_words, r.n_pairs, r.score) for r in backoff.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()]
+    for g, w in zip(sorted(got), sorted(brute_scores(rows)), strict=True):
+        assert g[:3] == w[:3] and abs(g[3] - w[3]) < 2e-6
+    assert 0 < seen.value < 200

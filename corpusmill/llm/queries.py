@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import q_backoff, q_chat, q_decontaminate, q_mixing, q_quality, q_setjoin, q_surrogates, q_units, q_urlrules, q_warc
+from corpusmill.llm import (q_align, q_backoff, q_chat, q_decontaminate, q_mixing, q_quality, q_setjoin, q_simhash, q_spelling, q_surrogates,
+                            q_units, q_urlrules, q_warc)
 
-_MODULES = (q_decontaminate, q_units, q_mixing, q_quality, q_urlrules, q_warc, q_chat, q_backoff, q_surrogates, q_setjoin)
+_MODULES = (q_decontaminate, q_units, q_mixing, q_quality, q_urlrules, q_warc, q_chat, q_backoff, q_surrogates, q_setjoin,
+            q_align, q_simhash, q_spelling)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -18,11 +18,11 @@ It is associative, so the fragments of a document may be joined in any tree.
   Slices are dealt out and encoded by different tasks, whose fragments of fixed byte
   ranges are joined ``FAN`` at a time, level by level.
 
-Counts of id pairs: each task sums the distinct pairs of its documents, and Spark the
-tasks' sums.  Pairs that make up 1 / ``HOT`` of all (at most ``HOT`` by that) and each
+A document's distinct pairs are stored with its counts, so texts are encoded once.
+Counts of id pairs: each task sums the pairs of its documents, and Spark the tasks' sums.  Pairs that make up 1 / ``HOT`` of all (at most ``HOT`` by that) and each
 A id's highest count (at most A's vocabulary) are broadcast; the scanning task scores
 these links.  Links of other pairs, none of which is frequent, meet their counts in a
-join.  Texts are scanned twice and never shuffled, but for the slices of long ones.
+join.  Texts are never shuffled, but for the slices of long ones.
 
 Defined results: a null or empty text, and one that a tokenizer does not give back
 byte for byte, has no tokens: zeros and ''.  Special tokens' strings in a text are
@@ -36,7 +36,10 @@ names can't clash.
 from __future__ import annotations
 
 import hashlib
+import json
+import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -45,7 +48,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corpusmill.llm.common import stored
 from corpusmill.operators.bpe import byte_standins
@@ -58,12 +60,12 @@ FAN = 8
 HOT = 1 << 17
 #: Bytes of text encoded at once; units that a task remembers, and their length at most.
 RUN = 1 << 19
-UNITS, UNIT_CHARS = 150_000, 48
+UNITS, UNIT_CHARS = 120_000, 48
 #: Links expanded at once, and pairs that a task sums before it passes them on.
 LINKS = 1 << 20
 SUMS = 1 << 20
 
-_INT = np.dtype("<i4")
+_INT, _PAIR = np.dtype("<i4"), np.dtype("<u4")
 
 
 # ---- tokens ------------------------------------------------------------------------------------
@@ -78,55 +80,82 @@ class Tokens:
     b_len: np.ndarray
 
 
+#: Fixed value: how the byte-level tokenizer splits a text.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Characters whose class no version of Unicode has changed, so both of A's encoders agree.
+_COMMON = re.compile("[\t\n\r -~\u00A1-\u00AC\u00AE-\u024F]*")
+
+
 def _solid(c: str) -> bool:
     """No white space, control or format character by any table, nor the mark for a space."""
     return "!" <= c <= "~" or (unicodedata.category(c)[0] not in "ZC" and c != "▁")
 
 
 class Encoders:
-    """Both tokenizers; remembers the tokens of frequent units.
+    """Both tokenizers; remembers the tokens of the units seen last.
 
     A unit is what lies between two safe places: single spaces between solid
-    characters.  A unit's tokens don't depend on its neighbours.
+    characters.  A unit's tokens don't depend on its neighbours.  Units of common
+    characters go to a faster encoder made of A's own vocabulary.
     """
 
     def __init__(self, a_json: str, b_model: bytes):
         from sentencepiece import SentencePieceProcessor
+        from tiktoken import Encoding
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_str(a_json)
         self.a.encode_special_tokens = True
         self.b = SentencePieceProcessor(model_proto=b_model)
         of = {c: i for i, c in enumerate(byte_standins())}
-        entries = self.a.get_vocab(with_added_tokens=True)
-        self.n_a, self.n_b = max(entries.values()) + 1, self.b.get_piece_size()
+        entries = self.a.get_vocab(with_added_tokens=False)
+        self.n_a, self.n_b = max(self.a.get_vocab().values()) + 1, self.b.get_piece_size()
+        ranks = {bytes(of[c] for c in s): i for s, i in entries.items()}
         self.a_bytes = [b""] * self.n_a
-        for s, i in entries.items():
-            self.a_bytes[i] = bytes(of[c] for c in s) if all(c in of for c in s) else s.encode()
+        for s, i in ranks.items():
+            self.a_bytes[i] = s
+        self.a_size = np.array([len(x) for x in self.a_bytes], _INT)
         pieces = [self.b.id_to_piece(i) for i in range(self.n_b)]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.b_size = np.array([len(x) for x in self.b_bytes], _INT)
         # a piece with a space after another character could lie across a safe place
         self.split = not any(p.lstrip("▁").count("▁") for p in pieces)
+        model, before = json.loads(a_json)["model"], json.loads(a_json).get("pre_tokenizer") or {}
+        made = [entries["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+        by_rank = made == sorted(made) and before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
+        self.fast = Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}) if by_rank and not model.get("ignore_merges") else None
         self.known: dict = {}
-        self.ragged: dict = {}  # units whose ends aren't solid: never found by splitting at spaces
-
-    def _encode(self, units: list[str]) -> list[tuple]:
-        out = []
-        firsts = self.a.encode_batch([" " + u for u in units], add_special_tokens=False)
-        for u, first, second in zip(units, firsts, self.b.encode(units, num_threads=1), strict=True):
-            one, two, raw = [self.a_bytes[i] for i in first.ids], [self.b_bytes[i] for i in second], b" " + u.encode()
-            whole = b"".join(one) == raw and b"".join(two) == raw and all(one) and all(two)
-            out.append((np.array(first.ids, _INT).tobytes(), np.array([len(x) for x in one], _INT).tobytes(),
-                        np.array(second, _INT).tobytes(), np.array([len(x) for x in two], _INT).tobytes()) if whole else ())
-        return out
+        self.older: dict = {}
+
+    def _apart(self, u: str) -> tuple:
+        """The packed ids of one unit by both tokenizers; empty if one doesn't give it back."""
+        one = self.fast.encode_ordinary(" " + u) if self.fast and _COMMON.fullmatch(u) else self.a.encode(" " + u, add_special_tokens=False).ids
+        two, raw = self.b.encode(u), b" " + u.encode()
+        same = b"".join([self.a_bytes[i] for i in one]) == raw == b"".join([self.b_bytes[i] for i in two])
+        return (array("i", one).tobytes(), array("i", two).tobytes()) if same else ()
+
+    def _together(self, units: list[str]) -> list[tuple]:
+        """As ``_apart`` for each of many solid units of common characters, at once: a token ends where each unit does."""
+        text = " " + " ".join(units)
+        one = np.array(self.fast.encode_ordinary(text), _INT)
+        lists = self.b.encode(units, num_threads=1)
+        two = np.array([i for x in lists for i in x], _INT)
+        raw = text.encode()
+        if b"".join([self.a_bytes[i] for i in one.tolist()]) != raw or b"".join([self.b_bytes[i] for i in two.tolist()]) != raw:
+            return [self._apart(u) for u in units]
+        wide = _INT.itemsize
+        ends = np.cumsum([len(u.encode()) + 1 for u in units])
+        a_at = [0, *(np.searchsorted(np.cumsum(self.a_size[one]), ends, side="right") * wide).tolist()]
+        b_at = [0, *(np.cumsum([len(x) for x in lists]) * wide).tolist()]
+        a, b = one.tobytes(), two.tobytes()
+        return [(a[i:j], b[k:n]) for i, j, k, n in zip(a_at, a_at[1:], b_at, b_at[1:], strict=False)]
 
     def _units(self, words: list[str]) -> list[str]:
-        if not self.split:
-            return [" ".join(words)]
+        """Words put together where the place between them isn't safe."""
         out, part = [], [words[0]]
         for w in words[1:]:
             last = part[-1]
-            if last and w and _solid(last[-1]) and _solid(w[0]):
+            if self.split and last and w and _solid(last[-1]) and _solid(w[0]):
                 out.append(" ".join(part))
                 part = [w]
             else:
@@ -136,29 +165,35 @@ class Encoders:
 
     def parts(self, texts: list[str]) -> list[list[tuple] | None]:
         """For each text the tokens of its units; None if a tokenizer doesn't give it back."""
-        out, todo, missing = [], {}, {}
-        for k, t in enumerate(texts):
-            words = t.split(" ")
-            got = [self.known.get(w) for w in words] if self.split else [None]
-            if None in got:
+        split = [t.split(" ") for t in texts]
+        known, older = self.known, self.older
+        fresh = [w for w in set().union(*split) if w not in known]
+        known.update((w, older[w]) for w in fresh if w in older)
+        fresh = [w for w in fresh if w not in older]
+        ragged = {w for w in fresh if not (self.split and w and _solid(w[0]) and _solid(w[-1]))}
+        common = [w for w in fresh if w not in ragged and self.fast and _COMMON.fullmatch(w)]
+        if common:
+            known.update(zip(common, self._together(common), strict=True))
+        known.update((w, self._apart(w)) for w in set(fresh).difference(ragged, common))
+        out, odd = [], {}
+        for words in split:
+            if ragged and not ragged.isdisjoint(words):  # by units of which some are longer than a word
                 units = self._units(words)
-                got = [self.known.get(u) or self.ragged.get(u) for u in units]
-                todo[k] = units
-                missing.update((u, None) for u, g in zip(units, got, strict=True) if g is None)
-            out.append(got)
-        if missing:
-            fresh = dict(zip(missing, self._encode(list(missing)), strict=True))
-            for k, units in todo.items():
-                out[k] = [fresh[u] if g is None else g for u, g in zip(units, out[k], strict=True)]
-            for u, e in fresh.items():
-                if e and len(u) <= UNIT_CHARS:
-                    into = self.known if u and " " not in u and _solid(u[0]) and _solid(u[-1]) else self.ragged
-                    if len(into) < UNITS:
-                        into[u] = e
-        return [None if () in got else got for got in out]
+                odd.update((u, self._apart(u)) for u in units if u not in odd and (u in ragged or u not in known))
+                got = [odd[u] if u in odd else known[u] for u in units]
+            else:
+                got = [known[w] for w in words]
+            out.append(None if () in got else got)
+        for w in fresh:
+            if len(w) > UNIT_CHARS:
+                known.pop(w, None)
+        if len(known) > UNITS:  # those not met again before as many others are forgotten
+            self.known, self.older = {}, known
+        return out
 
     def tokens(self, parts: list[tuple]) -> Tokens:
-        return Tokens(*(np.frombuffer(b"".join([p[k] for p in parts]), _INT) for k in range(4)))
+        a, b = (np.frombuffer(b"".join([p[k] for p in parts]), _INT) for k in (0, 1))
+        return Tokens(a, self.a_size[a], b, self.b_size[b])
 
 
 # ---- fragments -----------------------------------------------------------------------------------
@@ -321,6 +356,7 @@ class Written:
         self.digits = np.zeros((ids, width + 1), np.uint8)
         text = np.char.encode(np.arange(ids).astype(str), "ascii").astype(f"S{width}")
         self.digits[:, :width] = text.view(np.uint8).reshape(ids, width)
+        self.width = 1 + (self.digits != 0).sum(1)
 
     def digests(self, g: Groups) -> list[str]:
         """The SHA-256 of each document's groups, '' for one without."""
@@ -332,9 +368,10 @@ class Written:
         out[:, -1] = ord(",")
         if len(a_upto):
             out[at_a[a_upto - 1], -1], out[at_b[b_upto - 1], -1] = ord("|"), ord(";")
-        used = out != 0
-        size = np.concatenate(([0], np.cumsum(used.sum(1))))
-        raw = out[used].tobytes()
+        width = np.empty(len(out), np.int64)
+        width[at_a], width[at_b] = self.width[g.a], self.width[g.b]
+        size = np.concatenate(([0], np.cumsum(width)))
+        raw = out.tobytes().translate(None, b"\0")
         tokens = np.concatenate(([0], a_upto + b_upto))[g.at]  # tokens before each document
         return ["" if s == e else hashlib.sha256(raw[size[s]:size[e] - 1]).hexdigest() for s, e in zip(tokens[:-1], tokens[1:], strict=True)]
 
@@ -377,7 +414,7 @@ def _long_documents(docs: DataFrame, model, kind: str, fragment: int) -> DataFra
         return [f.cut, *(np.ascontiguousarray(getattr(f, n), _INT).tobytes() for n in Fragment.FIELDS)]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = Encoders(*model.value)
+        enc = _encoders(model)
         for b in batches:
             for k in range(b.num_rows):
                 key, at, text = (b.column(n)[k].as_py() for n in ("key", "at", "text"))
@@ -425,75 +462,98 @@ def _long_documents(docs: DataFrame, model, kind: str, fragment: int) -> DataFra
     return stored(found.mapInArrow(close, f"key long, id {kind}, a binary, b binary, na binary, nb binary"), "aligned")
 
 
-def _counter(groups_of, model):
-    """A task's partial counts of the documents that hold each pair."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = Encoders(*model.value)
-        held, size = [], 0
-        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            k, c = np.unique(np.concatenate(held), return_counts=True)
-            both, back = np.unique(np.concatenate((keys, k)), return_inverse=True)
-            total = np.zeros(len(both), np.int64)
-            np.add.at(total, back, np.concatenate((counts, c)))
-            return both, total
+_ENCODERS: dict = {}
 
-        def out() -> Iterator[pa.RecordBatch]:
-            for k in range(0, len(keys), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(keys[k:k + (1 << 16)]), pa.array(counts[k:k + (1 << 16)])], names=["pair", "n"])
 
-        for b in batches:
-            for g in groups_of(enc, b):
-                pair = links(g, enc.n_a, enc.n_b)[1]
-                held.append(pair)
-                size += len(pair)
-                if size >= SUMS:
-                    (keys, counts), held, size = merged(), [], 0
-                    if len(keys) >= SUMS:
-                        yield from out()
-                        keys = counts = np.zeros(0, np.int64)
-        if held:
-            keys, counts = merged()
-        yield from out()
+def _encoders(model) -> Encoders:
+    """One pair of encoders in a worker, with the units that it has met."""
+    if model.value not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[model.value] = Encoders(*model.value)
+    return _ENCODERS[model.value]
 
-    return run
 
+_COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 
-#: ``pair`` is null in the row of a document, which has the scores of its frequent pairs.
-_SCORED = "key long, id {kind}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, n_best long, count_sum long, pair long, links long"
 
+def _linker(groups_of, model):
+    """A row for each document: its counts, its groups' digest, and its distinct pairs with their links."""
 
-def _scorer(groups_of, model, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a_json, b_model, hot, hot_n, best = model.value
-        enc = Encoders(a_json, b_model)
+        enc = _encoders(model)
         text = Written(max(enc.n_a, enc.n_b))
-        names = [f.split()[0] for f in _SCORED.split(", ")]
         for b in batches:
             for g in groups_of(enc, b):
-                n = len(g.rows)
                 doc, pair, many = links(g, enc.n_a, enc.n_b)
-                at = np.minimum(np.searchsorted(hot, pair), max(0, len(hot) - 1))
-                known = hot[at] == pair if len(hot) else np.zeros(len(pair), bool)
-                count = hot_n[at[known]] if len(hot) else np.zeros(0, np.int64)
-                sums, tops, total = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
+                n = len(g.rows)
+                at = np.searchsorted(doc, np.arange(n + 1))
+                total = np.zeros(n, np.int64)
                 np.add.at(total, doc, many)
-                np.add.at(sums, doc[known], count * many[known])
-                np.add.at(tops, doc[known], np.where(count == best[pair[known] // enc.n_b], many[known], 0))
                 a_at, b_at = (np.concatenate(([0], np.cumsum(x, dtype=np.int64)))[g.at] for x in (g.na, g.nb))
+                pair, many = pair.astype(_PAIR), many.astype(_PAIR)
                 rows = pa.array(g.rows)
-                key, ids = b.column("key").take(rows), b.column("id").take(rows)
-                long = lambda x: pa.array(np.asarray(x, np.int64))
-                yield pa.RecordBatch.from_arrays([key, ids, long(np.diff(a_at)), long(np.diff(b_at)), long(np.diff(g.at)), long(total),
-                                                  pa.array(text.digests(g), pa.string()), long(tops), long(sums), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names=names)
-                rest = np.flatnonzero(~known)
-                for k in range(0, len(rest), 1 << 16):
-                    some = rest[k:k + (1 << 16)]
-                    void = [pa.nulls(len(some), pa.int64())] * 7
-                    yield pa.RecordBatch.from_arrays([key.take(pa.array(doc[some])), pa.nulls(len(some), ids.type), *void[:4], pa.nulls(len(some), pa.string()),
-                                                      *void[:2], pa.array(pair[some]), pa.array(many[some].astype(np.int64))], names=names)
+                packed = lambda x: pa.array([x[s:e].tobytes() for s, e in zip(at[:-1], at[1:], strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([b.column("key").take(rows), b.column("id").take(rows), *(pa.array(x.astype(np.int64)) for x in (np.diff(a_at), np.diff(b_at), np.diff(g.at), total)),
+                                                  pa.array(text.digests(g), pa.string()), packed(pair), packed(many)],
+                                                 names=["key", "id", *_COUNTS, "groups_sha256", "pairs", "many"])
+
+    return run
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's sums of the documents that hold each pair."""
+    held, size = [], 0
+    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def merged() -> tuple[np.ndarray, np.ndarray]:
+        k, c = np.unique(np.concatenate(held), return_counts=True)
+        both, back = np.unique(np.concatenate((keys, k.astype(np.int64))), return_inverse=True)
+        total = np.zeros(len(both), np.int64)
+        np.add.at(total, back, np.concatenate((counts, c)))
+        return both, total
+
+    def out() -> Iterator[pa.RecordBatch]:
+        for k in range(0, len(keys), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(keys[k:k + (1 << 16)]), pa.array(counts[k:k + (1 << 16)])], names=["pair", "n"])
+
+    for b in batches:
+        for pairs in b.column("pairs"):
+            held.append(np.frombuffer(pairs.as_py(), _PAIR))
+            size += len(held[-1])
+            if size >= SUMS:
+                (keys, counts), held, size = merged(), [], 0
+                if len(keys) >= SUMS:
+                    yield from out()
+                    keys = counts = np.zeros(0, np.int64)
+    if held:
+        keys, counts = merged()
+    yield from out()
+
+
+def _scorer(scores, n_b: int):
+    """Sums over the links of frequent pairs, in a row for each document; ``pair`` is null in it.  Other pairs have a row each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot, hot_n, best = scores.value
+        names = ["key", "n_best", "count_sum", "pair", "links"]
+        for b in batches:
+            pairs = [np.frombuffer(x.as_py(), _PAIR) for x in b.column("pairs")]
+            n = len(pairs)
+            doc = np.repeat(np.arange(n), [len(p) for p in pairs])
+            pair = np.concatenate([*pairs, np.zeros(0, _PAIR)]).astype(np.int64)
+            many = np.concatenate([*(np.frombuffer(x.as_py(), _PAIR) for x in b.column("many")), np.zeros(0, _PAIR)]).astype(np.int64)
+            at = np.minimum(np.searchsorted(hot, pair), max(0, len(hot) - 1))
+            known = hot[at] == pair if len(hot) else np.zeros(len(pair), bool)
+            count = hot_n[at[known]] if len(hot) else np.zeros(0, np.int64)
+            sums, tops = np.zeros(n, np.int64), np.zeros(n, np.int64)
+            np.add.at(sums, doc[known], count * many[known])
+            np.add.at(tops, doc[known], np.where(count == best[pair[known] // n_b], many[known], 0))
+            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(tops), pa.array(sums), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names=names)
+            rest = np.flatnonzero(~known)
+            for k in range(0, len(rest), 1 << 16):
+                some = rest[k:k + (1 << 16)]
+                void = pa.nulls(len(some), pa.int64())
+                yield pa.RecordBatch.from_arrays([b.column("key").take(pa.array(doc[some])), void, void, pa.array(pair[some]), pa.array(many[some])], names=names)
 
     return run
 
@@ -512,29 +572,27 @@ def align(docs: DataFrame, a_json: str, b_model: bytes, text: str = "text", doc_
     is_long = F.coalesce(F.octet_length("text") > fragment, F.lit(False))
     model = spark.sparkContext.broadcast((a_json, b_model))
     enc = Encoders(a_json, b_model)
+    if enc.n_a * enc.n_b >= 1 << 32:
+        raise ValueError("the vocabularies have 2^32 pairs or more")
     # keys of the two parts are made by two jobs: told apart by their sign
     whole = _long_documents(own.where(is_long).withColumn("key", -1 - F.col("key")), model, kind, fragment)
-    short = own.where(~is_long)
-    pairs = "pair long, n long"
-    partial = short.mapInArrow(_counter(_groups_of_texts, model), pairs).unionByName(whole.mapInArrow(_counter(_groups_of_whole, model), pairs))
-    counts = stored(partial.groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
+    schema = f"key long, id {kind}, {', '.join(f'{c} long' for c in _COUNTS)}, groups_sha256 string, pairs binary, many binary"
+    short = own.where(~is_long).mapInArrow(_linker(_groups_of_texts, model), schema)
+    linked = stored(short.unionByName(whole.mapInArrow(_linker(_groups_of_whole, model), schema)), "links")
+    model.destroy()
+    counts = stored(linked.select("pairs").mapInArrow(_counted, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
     total = counts.agg(F.sum("n")).first()[0] or 0
     frequent = counts.where(F.col("n") * hot >= total).orderBy("pair").toArrow()  # at most ``hot`` rows by the condition
     top = counts.groupBy(F.expr(f"pair div {enc.n_b}").alias("a")).agg(F.max("n").alias("best"))  # at most A's vocabulary
     best = np.zeros(enc.n_a, np.int64)
     for r in top.toArrow().to_pylist():
         best[r["a"]] = r["best"]
-    scores = spark.sparkContext.broadcast((a_json, b_model, frequent.column("pair").to_numpy(), frequent.column("n").to_numpy(), best))
-    schema = _SCORED.format(kind=kind)
-    # long documents without tokens have a row too: their fragments are empty
-    both = short.mapInArrow(_scorer(_groups_of_texts, scores, kind), schema).unionByName(whole.mapInArrow(_scorer(_groups_of_whole, scores, kind), schema))
-    found = stored(both, "links")
-    model.destroy()
+    scores = spark.sparkContext.broadcast((frequent.column("pair").to_numpy(), frequent.column("n").to_numpy(), best))
+    found = stored(linked.select("key", "pairs", "many").mapInArrow(_scorer(scores, enc.n_b), "key long, n_best long, count_sum long, pair long, links long"), "scores")
     scores.destroy()
     rest = (found.where("pair is not null").select("key", "pair", "links").join(counts.where(F.col("n") * hot < total), "pair")
             .withColumn("a", F.expr(f"pair div {enc.n_b}")).join(F.broadcast(top), "a")
-            .groupBy("key").agg(F.sum(F.when(F.col("n") == F.col("best"), F.col("links")).otherwise(0)).alias("more_best"),
-                                F.sum(F.col("n") * F.col("links")).alias("more_sum")))
-    more = lambda c, d: (F.col(c) + F.coalesce(F.col(d), F.lit(0))).cast(T.LongType()).alias(c)
-    return (found.where("pair is null").join(rest, "key", "left")
-            .select("id", "n_a", "n_b", "n_groups", "n_links", more("n_best", "more_best"), more("count_sum", "more_sum"), "groups_sha256"))
+            .select("key", F.when(F.col("n") == F.col("best"), F.col("links")).otherwise(0).alias("n_best"), (F.col("n") * F.col("links")).alias("count_sum")))
+    sums = (found.where("pair is null").select("key", "n_best", "count_sum").unionByName(rest)
+            .groupBy("key").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum")))
+    return linked.select("key", "id", *_COUNTS, "groups_sha256").join(sums, "key").select("id", *_COUNTS, "n_best", "count_sum", "groups_sha256")

@@ -60,7 +60,7 @@ FAN = 8
 HOT = 1 << 17
 #: Bytes of text encoded at once; units that a task remembers, and their length at most.
 RUN = 1 << 19
-UNITS, UNIT_CHARS = 120_000, 48
+UNITS, UNIT_CHARS = 200_000, 48
 #: Links expanded at once, and pairs that a task sums before it passes them on.
 LINKS = 1 << 20
 SUMS = 1 << 20

@@ -10,7 +10,7 @@ from corpusmill.plans import sqlhelp as S
 from corpusmill.plans.registry import query
 from corpusmill.session import table
 
-VOCAB, MIN_FREQ = 300, 2
+VOCAB, MIN_FREQ = 1000, 2
 _MODELS: dict = {}
 
 # RE2 has no look-ahead; without whitespace runs of two or more characters (none

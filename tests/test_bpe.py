@@ -104,3 +104,49 @@ def test_saved_model_encodes_through_the_dispatch(spark, tmpdir_fresh):
     got = docs.select("doc_id", "text", encode("text").alias("ids")).withColumn("back", decode("ids")).collect()
     want = {r.doc_id: r.ids for r in bpe.bpe_encode(docs, model).collect()}
     assert {r.doc_id: r.ids for r in got} == want and all(r.back == r.text for r in got)
+
+
+def _library(texts, size, least):
+    from tokenizers import Tokenizer
+    from tokenizers.models import BPE
+    from tokenizers.pre_tokenizers import ByteLevel
+    from tokenizers.trainers import BpeTrainer
+
+    tk = Tokenizer(BPE(unk_token=bpe.UNK))
+    tk.pre_tokenizer = ByteLevel(add_prefix_space=False)
+    tk.train_from_iterator(texts, trainer=BpeTrainer(vocab_size=size, min_frequency=least, special_tokens=bpe.SPECIALS, show_progress=False))
+    return tk.get_vocab()
+
+
+@pytest.mark.parametrize("local,kept,indexed,sparse", [(0, 50_000, 6, 0.2), (10_000, 40, 5, 1.0)])
+def test_rounds_of_all_kinds_equal_the_library(spark, monkeypatch, local, kept, indexed, sparse):
+    """Given merges, merges found by one task, a small table of pairs, words without index rows."""
+    import random
+
+    rng = random.Random(4)
+    syl = ["ta", "re", "ion", "the", "an", "é", "qu", "st", "ing", "o", "1", "xx"]
+    texts = [" ".join("".join(rng.choice(syl[: 3 + rng.randrange(9)]) for _ in range(rng.randrange(1, 6))) for _ in range(60)) for _ in range(40)]
+    monkeypatch.setattr(bpe, "KEPT_PAIRS", kept)
+    monkeypatch.setattr(bpe, "LOCAL_PAIRS", 4)
+    monkeypatch.setattr(bpe, "COMPACT", 5)
+    size = 75 if not local else 200
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    m = bpe.learn_bpe(df, vocab_size=size, min_frequency=2, candidates=24, local_words=local, indexed=indexed, sparse=sparse)
+    assert {m.token_text(i): i for i in range(m.vocab_size)} == _library(texts, size, 2)
+
+
+def test_learning_of_nothing_and_of_runs(spark):
+    assert bpe.learn_bpe(spark.createDataFrame([], "text string"), vocab_size=20).vocab_size == len(bpe.SPECIALS)
+    texts = ["aaaa aaaaa aaa bb", "aaaaaaaa bbbb", None, ""]
+    m = bpe.learn_bpe(spark.createDataFrame([(t,) for t in texts], "text string"), vocab_size=40, min_frequency=1)
+    assert m.merges and all(m.tokens[n] == m.tokens[a] + m.tokens[b] for a, b, n in m.merges)
+
+
+def test_decoding_has_a_plan_of_constant_size(spark):
+    def size(n):
+        m = bpe.BpeModel(tokens=list(bpe.SPECIALS) + [str(i).encode() + b"," for i in range(n)])
+        df = spark.createDataFrame([([3, 4 + n // 2, 0, -5, n + 900, None],)], "ids array<int>").select(bpe.bpe_decode(m, "ids").alias("t"))
+        assert df.first().t == f"0,{n // 2 + 1},"
+        return df._jdf.queryExecution().analyzed().expressions().head().treeString().count("\n")
+
+    assert size(10) == size(32_000)

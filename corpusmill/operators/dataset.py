@@ -15,9 +15,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions.hashing import md5_bits, md5_unit
+from corpusmill.session import scratch_path
 
-#: Keys in one bucket of the two-level prefix sum, on average, and buckets at most:
-#: beyond their product buckets grow, holding two narrow columns.
+#: Keys in one range of the two-level prefix sum, on average, and ranges at most:
+#: beyond their product ranges grow, holding two narrow columns.
 BUCKET_KEYS = 100_000
 MOST_BUCKETS = 1024
 
@@ -28,28 +29,28 @@ def prefix_offsets(df: DataFrame, key: str, size: Column | str, out: str = "star
                    bucket_keys: int = BUCKET_KEYS) -> DataFrame:
     """Exclusive running sum of ``size`` in ``key`` order (a null key first), in two levels.
 
-    Only ``(key, size)`` is sorted; the result joins back by key, so payload columns
-    never pass through a window.  Buckets are bounded by quantiles of the keys and
-    their number follows the rows, so clustered and hashed keys are balanced too.
-    Bucket totals (at most ``MOST_BUCKETS`` + 1 rows) get their own running sum and
-    are broadcast back.  Keys must be unique; a repeated one is an error.
+    ``key`` is of any type that can be ordered: numbers, strings, dates, structs.  Only
+    ``(key, size)`` is sorted: once, by ranges of sampled keys, into a table that says
+    which range each row is in.  Sums run inside the ranges; the ranges' totals (at most
+    ``MOST_BUCKETS`` rows) get a running sum of their own and are broadcast back.  The
+    result joins back by key, so payload columns never pass through a window.  Keys must
+    be unique; a repeated one is an error.
     """
     size = F.col(size) if isinstance(size, str) else size
-    narrow = df.select(F.col(key).alias("_k"), size.cast("bigint").alias("_n"))
-    counted = narrow.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    many = min(MOST_BUCKETS, max(1, math.ceil(counted / bucket_keys)))
-    # doubles keep the order of 64-bit keys (not strictly): equal ones share a bucket
-    place = F.col("_k").cast("double")
-    cuts = narrow.agg(F.percentile_approx(place, [i / many for i in range(1, many)], 10 * many)).first()[0] if many > 1 else []
-    bounds = sorted(set(cuts or []))
-    above = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda x: x <= place)) if bounds else F.lit(0)
-    keyed = narrow.withColumn("_b", F.when(F.col("_k").isNull(), F.lit(-1)).otherwise(above))
-    inner = Window.partitionBy("_b").orderBy("_k")
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "sizes")
+    df.select(F.col(key).alias("_k"), size.cast("bigint").alias("_n")).write.parquet(path)
+    narrow = spark.read.parquet(path)
+    many = min(MOST_BUCKETS, max(1, math.ceil(narrow.count() / bucket_keys)))
+    ranged = f"{path}-ranges"
+    # equal keys are in one range; the range that a row was written in is a column from then on
+    (narrow.repartitionByRange(many, F.col("_k").asc_nulls_first()).withColumn("_b", F.spark_partition_id()).write.parquet(ranged))
+    keyed = spark.read.parquet(ranged)
+    inner = Window.partitionBy("_b").orderBy(F.col("_k").asc_nulls_first())
     again = F.lag("_k").over(inner).eqNullSafe(F.col("_k")) & (F.row_number().over(inner) > 1)
-    unique = F.when(again, F.raise_error(F.concat(F.lit("repeated key "), F.coalesce(F.col("_k").cast("string"), F.lit("null")))).cast("bigint"))
+    unique = F.when(again, F.raise_error(F.concat(F.lit("repeated key "), F.coalesce(F.to_json(F.struct("_k")), F.lit("null")))).cast("bigint"))
     b = keyed.withColumn("_in", F.coalesce(unique, F.sum("_n").over(inner.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")))
     totals = keyed.groupBy("_b").agg(F.sum("_n").alias("_bn"))
-    outer = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)  # <= MOST_BUCKETS + 1 rows
+    outer = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)  # <= MOST_BUCKETS rows
     offs = totals.select("_b", (F.sum("_bn").over(outer) - F.col("_bn")).alias("_boff"))
     starts = b.join(F.broadcast(offs), "_b").select("_k", (F.col("_boff") + F.col("_in")).alias(out))
     return df.join(starts, df[key].eqNullSafe(F.col("_k"))).drop("_k")
@@ -57,9 +58,12 @@ def prefix_offsets(df: DataFrame, key: str, size: Column | str, out: str = "star
 
 def token_offsets(tokens: DataFrame, key: str = "doc_id", ids: str = "ids",
                   bucket_keys: int = BUCKET_KEYS) -> DataFrame:
-    """Adds ``n_tokens`` and ``start_pos`` (global position of the first token)."""
-    t = tokens.withColumn("n_tokens", F.size(ids).cast("bigint"))
-    return prefix_offsets(t, key, "n_tokens", "start_pos", bucket_keys)
+    """Adds ``n_tokens`` and ``start_pos`` (global position of the first token).
+
+    The token table is written once, so what makes the tokens runs once."""
+    path = scratch_path(tokens.sparkSession, "tokens")
+    tokens.withColumn("n_tokens", F.size(ids).cast("bigint")).write.parquet(path)
+    return prefix_offsets(tokens.sparkSession.read.parquet(path), key, "n_tokens", "start_pos", bucket_keys)
 
 
 def token_stream(tokens_off: DataFrame, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -97,22 +101,22 @@ def split_documents(tokens_off: DataFrame, index: int, key: str = "doc_id", ids:
 # ---- token blocks (layout used by F3, F4, F6) ----------------------------------------
 
 def token_blocks(tokens_off: DataFrame, block_len: int, ids: str = "ids",
-                 only: DataFrame | None = None) -> DataFrame:
+                 only: DataFrame | None = None, overlap: int = 0) -> DataFrame:
     """``(block, ids)``: the stream cut into consecutive blocks of ``block_len``
-    tokens (the last one may be shorter).  Each document contributes one piece
-    per block it overlaps; a block gathers at most ``block_len`` tokens.
-    ``only`` (a table of block numbers) restricts the layout to those
-    blocks before any token is copied or shuffled."""
+    tokens (the last one may be shorter), each followed by the next block's first
+    ``overlap`` tokens.  Each document contributes one piece per block it overlaps; a
+    block gathers at most ``block_len + overlap`` tokens.  ``only`` (a table of block
+    numbers) restricts the layout to those blocks before any token is copied or shuffled."""
     L = int(block_len)
     s, n = F.col("start_pos"), F.col("n_tokens")
+    first = F.greatest(F.floor((s - overlap) / L), F.lit(0)).cast("bigint")
     pieces = (tokens_off.where(n > 0)
-              .select(s, n, ids, F.explode(F.sequence(F.floor(s / L).cast("bigint"),
-                                                      F.floor((s + n - 1) / L).cast("bigint"))).alias("block")))
+              .select(s, n, ids, F.explode(F.sequence(first, F.floor((s + n - 1) / L).cast("bigint"))).alias("block")))
     if only is not None:
         pieces = pieces.join(only.select("block").distinct(), "block", "left_semi")
     pieces = (pieces
               .withColumn("_from", F.greatest(F.col("block") * L - s, F.lit(0)))
-              .withColumn("_to", F.least((F.col("block") + 1) * L - s, n))
+              .withColumn("_to", F.least((F.col("block") + 1) * L + overlap - s, n))
               .select("block", (s + F.col("_from")).alias("_p"),
                       F.slice(ids, (F.col("_from") + 1).cast("int"), (F.col("_to") - F.col("_from")).cast("int"))
                       .alias("_piece")))
@@ -121,6 +125,34 @@ def token_blocks(tokens_off: DataFrame, block_len: int, ids: str = "ids",
             .select("block", F.flatten(F.transform("_ps", lambda x: x["_piece"])).alias(ids)))
 
 
+def write_blocks(blocks: DataFrame, path: str, partitions: int | None = None, row_group_bytes: int = 1 << 20) -> None:
+    """Keeps a block table for random reads: sorted by block number, in small row groups,
+    so that a read of some blocks leaves out files, row groups and pages by their statistics."""
+    order = F.col("block").asc()
+    t = blocks.repartitionByRange(partitions, order) if partitions else blocks.repartitionByRange(order)
+    t.sortWithinPartitions("block").write.option("parquet.block.size", row_group_bytes).option("parquet.page.size", row_group_bytes >> 4).parquet(path)
+
+
+def read_blocks(spark: SparkSession, path: str, starts: DataFrame | None = None, block_len: int = 0, ranges: int = 64) -> DataFrame:
+    """A block table kept by ``write_blocks``.
+
+    With ``starts`` (a table of window starts, bounded by its parameters) only blocks
+    that the windows need: their numbers, put together in up to ``ranges`` intervals, are
+    a filter on the scan."""
+    blocks = spark.read.parquet(path)
+    if starts is None:
+        return blocks
+    need = sorted(r["block"] for r in needed_blocks(starts, block_len).distinct().collect())
+    if not need:
+        return blocks.where(F.lit(False))
+    # the widest gaps stay open
+    gaps = sorted(sorted(range(1, len(need)), key=lambda k: need[k - 1] - need[k])[:ranges - 1])
+    wanted = F.lit(False)
+    for lo, hi in zip([0, *gaps], [*gaps, len(need)], strict=True):
+        wanted = wanted | F.col("block").between(need[lo], need[hi - 1])
+    return blocks.where(wanted)
+
+
 # ---- F3 / F4: window sampling --------------------------------------------------------
 
 def window_starts(spark: SparkSession, lo: int, hi: int, seq_len: int, batch_size: int,
@@ -201,15 +233,12 @@ def dataset_plan(manifest: DataFrame, seq_len: int, batch_size: int, epochs: int
 # ---- F6: sequential blocks ---------------------------------------------------------------
 
 def sequential_blocks(blocks: DataFrame, total_tokens: int, seq_len: int) -> DataFrame:
-    """The ``(total-1) // L`` complete non-overlapping sequences: x = block k,
-    y = the same block shifted by one token (first token of block k+1 appended)."""
+    """The ``(total-1) // L`` complete non-overlapping sequences: x = block k, y = the
+    same block shifted by one token.  ``blocks`` overlap by one token or more."""
     L = int(seq_len)
     full = (int(total_tokens) - 1) // L
-    nxt = blocks.select((F.col("block") - 1).alias("block"), F.element_at("ids", 1).alias("_next"))
     return (blocks.where(F.col("block") < full)
-            .join(nxt, "block", "left")
-            .select(F.col("block").alias("seq"), F.col("ids").alias("x"),
-                    F.concat(F.slice("ids", 2, L - 1), F.array("_next")).alias("y")))
+            .select(F.col("block").alias("seq"), F.slice("ids", 1, L).alias("x"), F.slice("ids", 2, L).alias("y")))
 
 
 # ---- F7 / F8 -----------------------------------------------------------------------------------
@@ -231,9 +260,28 @@ def context_tail(ids, n: int) -> Column:
 # ---- F9: sampling rows -----------------------------------------------------------------------------
 
 def sample_without_replacement(df: DataFrame, k: int, seed: int, key: str) -> DataFrame:
-    """``k`` distinct rows: the ``k`` smallest hashed keys (ties by key)."""
-    return (df.withColumn("_h", md5_bits(F.lit(seed), key)).orderBy("_h", key).limit(int(k))
-            .drop("_h"))
+    """``k`` distinct rows: the ``k`` smallest hashed keys (ties by key).
+
+    The k-th smallest 32-bit hash is found exactly in two passes over counts (its upper,
+    then its lower 16 bits), and rows are kept by comparison with it, where they are.
+    Only rows whose hash equals it are ordered: one in 2^32 of all, by expectation."""
+    if int(k) <= 0:
+        return df.limit(0)
+    h = df.withColumn("_h", md5_bits(F.lit(seed), key))
+    left, low, bound = int(k), 0, 1 << 32
+    for width in (1 << 16, 1):
+        part = h.where((F.col("_h") >= low) & (F.col("_h") < bound)).groupBy(F.expr(f"_h div {width}").alias("p")).count()
+        found = None
+        for r in sorted(part.collect(), key=lambda r: r["p"]):  # 65,536 counts at most
+            if r["count"] >= left:
+                found = r["p"]
+                break
+            left -= r["count"]
+        if found is None:
+            return df  # no more rows than asked for
+        low, bound = found * width, (found + 1) * width
+    edge = h.where(F.col("_h") == low).orderBy(key).limit(left)
+    return h.where(F.col("_h") < low).unionByName(edge).drop("_h")
 
 
 def sample_with_replacement(df: DataFrame, k: int, seed: int, key: str) -> DataFrame:

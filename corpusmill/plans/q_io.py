@@ -32,6 +32,18 @@ def scan_corpus(spark, sf):
                     (F.col("n_chars") == F.length("text")).alias("n_chars_agree"), "source_file")
 
 
+@query("scan_text_corpus", """
+select line, count(*)::BIGINT as n from (select unnest(string_split(text, chr(10))) as line from documents) group by line""", "A1")
+def scan_text_corpus(spark, sf):
+    """The documents as text files, read back in byte ranges: every line."""
+    path = scratch_path(spark, "lines")
+    table(spark, sf, "documents").where("text is not null").select("text").coalesce(2).write.text(path)
+    pieces = io.scan_text(spark, path, piece_bytes=1 << 16)
+    # each piece ends with its last line's end
+    line = F.explode(F.expr("slice(split(text, '\\n'), 1, size(split(text, '\\n')) - 1)"))
+    return pieces.select(line.alias("line")).groupBy("line").agg(F.count("*").alias("n"))
+
+
 @query("token_sink_roundtrip", f"""with {STREAM_SQL}
 select doc_id, count(*)::BIGINT as n_tokens, sum(id)::BIGINT as id_sum, min(id) filter (where i = 0)::SMALLINT as first_id
 from t group by doc_id""", "A4+A5")

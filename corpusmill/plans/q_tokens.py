@@ -8,7 +8,7 @@ from corpusmill.operators import dataset as ds
 from corpusmill.operators import vocab as vb
 from corpusmill.plans import sqlhelp as S
 from corpusmill.plans.registry import query
-from corpusmill.session import table
+from corpusmill.session import scratch_path, table
 
 RATIO = 0.9
 WIN_LEN, WIN_BATCH, WIN_BATCHES, WIN_SEED = 64, 8, 4, 1337
@@ -96,26 +96,46 @@ def _win_select(L):
             f"array_to_string(list_slice(l, 2, {L + 1}), ',') as y from wt")
 
 
-@query("sample_windows", f"""with {STREAM_SQL}, {_windows_sql('train', 0, 'idx', WIN_LEN, WIN_BATCH, WIN_BATCHES, WIN_SEED, True)}
+WINDOWS_SQL = f"""with {STREAM_SQL}, {_windows_sql('train', 0, 'idx', WIN_LEN, WIN_BATCH, WIN_BATCHES, WIN_SEED, True)}
 {_win_select(WIN_LEN)}
 union all
 (with {STREAM_SQL}, {_windows_sql('val', 'idx', 'total', WIN_LEN, WIN_BATCH, WIN_BATCHES, WIN_SEED, True)}
-{_win_select(WIN_LEN)})""", "F3")
-def sample_windows(spark, sf):
-    t = tokens_with_offsets(spark, sf).cache()
+{_win_select(WIN_LEN)})"""
+
+
+def _starts(spark, t):
     total = t.agg(F.sum("n_tokens")).first()[0]
     idx = int(total * RATIO)
-    starts = (ds.window_starts(spark, 0, idx, WIN_LEN, WIN_BATCH, WIN_BATCHES, WIN_SEED, "train")
-              .unionByName(ds.window_starts(spark, idx, total, WIN_LEN, WIN_BATCH, WIN_BATCHES, WIN_SEED, "val")))
-    blocks = ds.token_blocks(t, WIN_LEN + 1, only=ds.needed_blocks(starts, WIN_LEN + 1))
+    return (ds.window_starts(spark, 0, idx, WIN_LEN, WIN_BATCH, WIN_BATCHES, WIN_SEED, "train")
+            .unionByName(ds.window_starts(spark, idx, total, WIN_LEN, WIN_BATCH, WIN_BATCHES, WIN_SEED, "val")))
+
+
+def _windows(blocks, starts):
     w = ds.sample_windows(blocks, starts, WIN_LEN, WIN_LEN + 1)
     return w.select("split", "batch", "slot", "start", _ids_str("x").alias("x"), _ids_str("y").alias("y"))
 
 
+@query("sample_windows", WINDOWS_SQL, "F3")
+def sample_windows(spark, sf):
+    t = tokens_with_offsets(spark, sf)
+    starts = _starts(spark, t)
+    return _windows(ds.token_blocks(t, WIN_LEN + 1, only=ds.needed_blocks(starts, WIN_LEN + 1)), starts)
+
+
+@query("sample_windows_layout", WINDOWS_SQL, "F3")
+def sample_windows_layout(spark, sf):
+    """The same windows from a kept block layout of the whole stream."""
+    t = tokens_with_offsets(spark, sf)
+    path = scratch_path(spark, "blocks")
+    ds.write_blocks(ds.token_blocks(t, WIN_LEN + 1), path)
+    starts = _starts(spark, t)
+    return _windows(ds.read_blocks(spark, path, starts, WIN_LEN + 1), starts)
+
+
 @query("sample_windows_all", f"""with {STREAM_SQL}, {_windows_sql('all', 0, 'total', ALL_LEN, ALL_BATCH, ALL_BATCHES, ALL_SEED, False)}
 {_win_select(ALL_LEN)}""", "F4")
 def sample_windows_all(spark, sf):
-    t = tokens_with_offsets(spark, sf).cache()
+    t = tokens_with_offsets(spark, sf)
     total = t.agg(F.sum("n_tokens")).first()[0]
     starts = ds.window_starts(spark, 0, total, ALL_LEN, ALL_BATCH, ALL_BATCHES, ALL_SEED, "all", sort=False)
     blocks = ds.token_blocks(t, ALL_LEN + 1, only=ds.needed_blocks(starts, ALL_LEN + 1))
@@ -148,9 +168,9 @@ x as (select b.seq, b.l as x, list_concat(list_slice(b.l, 2, {SEQ_LEN}), [n.l[1]
 select seq::BIGINT as seq, md5(array_to_string(x, ',')) as x_md5, md5(array_to_string(y, ',')) as y_md5 from x""",
        "F6")
 def sequential_blocks(spark, sf):
-    t = tokens_with_offsets(spark, sf).cache()
+    t = tokens_with_offsets(spark, sf)
     total = t.agg(F.sum("n_tokens")).first()[0]
-    seqs = ds.sequential_blocks(ds.token_blocks(t, SEQ_LEN), total, SEQ_LEN)
+    seqs = ds.sequential_blocks(ds.token_blocks(t, SEQ_LEN, overlap=1), total, SEQ_LEN)
     return seqs.select("seq", F.md5(_ids_str("x")).alias("x_md5"), F.md5(_ids_str("y")).alias("y_md5"))
 
 

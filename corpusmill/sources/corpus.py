@@ -8,12 +8,15 @@ documents (manifest, vocabulary, history) are single-row JSON datasets.
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.operators import bpe as bpe_ops
+from corpusmill.session import scratch_path
 
 # ---- A1-A3: corpus ------------------------------------------------------------------------------
 
@@ -24,11 +27,103 @@ def normalize_newlines(c) -> Column:
     return F.regexp_replace(col, "\r\n?", "\n")
 
 
+#: Bytes of a piece of a large text file, at least: it ends with the line that reaches them.
+PIECE_BYTES = 1 << 20
+
+
+def _first_bad(text: Column) -> Column:
+    """Offset of the first byte of a string that is not UTF-8."""
+    mark = "\ufffd"
+    parts = F.split(F.make_valid_utf8(text), mark)
+    upto = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda k: F.octet_length(F.array_join(F.slice(parts, 1, k), mark)))
+    # a mark that the text itself has is no error
+    return F.filter(upto, lambda at: F.substr(text.cast("binary"), at + 1, F.lit(3)) != F.lit(mark.encode()))[0]
+
+
+def scan_text(spark: SparkSession, path: str, separator: str = "\n", piece_bytes: int = PIECE_BYTES, strict: bool = True) -> DataFrame:
+    """Large text files, read in byte ranges (A1): ``(source_file, source_size, offset, text)``.
+
+    Spark's text source splits a file at any byte and gives each line to the range that
+    it starts in, so no code point and no ``\\r\\n`` is cut.  With the separator
+    ``\\n`` consecutive lines of a range make pieces of ``piece_bytes`` or a little more
+    (a piece's text ends with its line's end; a file's pieces in order are the file);
+    with any other separator each piece is the document between two of them.
+    ``offset`` is the byte at which a piece starts: inside a range a running sum that is
+    taken where the range is read, and each range's own start is the sum of those
+    before it (one row for each range).  ``(source_file, offset)`` is unique and has
+    the corpus's order.  A byte order mark at a file's start belongs to no text.
+
+    ``strict``: a byte that is no UTF-8 is an error that names file and offset, as a
+    strict read raises one; else such bytes become U+FFFD.  Compressed files can't be
+    split and are refused.  An empty file has no rows.
+    """
+    gap = len(separator.encode())
+    lines = separator == "\n"
+    # a value may be no UTF-8: it goes to Python as bytes
+    raw = (spark.read.option("lineSep", separator).text(path)
+           .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_block_start").alias("block"),
+                   F.col("value").cast("binary").alias("value")))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, at, held, size = None, 0, [], 0
+
+        def piece() -> pa.RecordBatch:
+            raw = separator.encode().join([*held, b""]) if lines else held[0]
+            cols = ([now[0]], [now[1]], [now[2]], [at], [size], [raw])
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["file", "size", "block", "at", "bytes", "raw"])
+
+        for b in batches:
+            own = zip(*(b.column(c).to_pylist() for c in ("file", "size", "block")))
+            for block, value in zip(own, b.column("value")):
+                if block != now or size >= piece_bytes or held and not lines:
+                    if held:
+                        yield piece()
+                    at = at + size if block == now else 0
+                    now, held, size = block, [], 0
+                held.append(value.as_py())
+                size += len(held[-1]) + gap
+        if held:
+            yield piece()
+
+    pieces = raw.mapInArrow(pack, "file string, size long, block long, at long, bytes long, raw binary")
+    # written once: a range's rows are read in its order by one task, whatever comes after
+    folder = scratch_path(spark, "pieces")
+    pieces.write.parquet(folder)
+    pieces = spark.read.parquet(folder)
+    blocks = pieces.groupBy("file", "size", "block").agg(F.sum("bytes").alias("bytes"))
+    order = Window.partitionBy("file").orderBy("block")  # a row for each range
+    whole = Window.partitionBy("file")
+    before = F.sum("bytes").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("bytes")
+    # bytes of the lines found, less those of the file: a last line without its end adds one separator, a mark lacks three
+    over = F.sum("bytes").over(whole) - F.col("size")
+    placed = blocks.select("file", "block", before.alias("before"), over.alias("over"), (F.col("block") == F.max("block").over(whole)).alias("last"))
+    marked = F.when(F.col("over") < 0, F.lit(3)).otherwise(F.lit(0))
+    checked = F.when(~F.col("over").isin(0, gap, -3, gap - 3), F.raise_error(F.concat(F.lit("not a plain text file: "), F.col("file")))).otherwise(F.col("before") + marked)
+    found = (pieces.join(placed, ["file", "block"]).withColumn("offset", checked + F.col("at"))
+             .withColumn("text", F.col("raw").cast("string")))
+    if lines:  # the file's last line has no end that isn't there
+        ended = F.col("last") & (F.col("offset") + F.col("bytes") > F.col("size"))
+        found = found.withColumn("text", F.when(ended, F.expr("cast(substring(raw, 1, length(raw) - 1) as string)")).otherwise(F.col("text")))
+    good = F.is_valid_utf8("text")
+    if strict:
+        wrong = F.concat(F.lit("not UTF-8: "), F.col("file"), F.lit(", byte "), (F.col("offset") + _first_bad(F.col("text"))).cast("string"))
+        found = found.withColumn("text", F.when(good, F.col("text")).otherwise(F.raise_error(wrong)))
+    else:
+        found = found.withColumn("text", F.make_valid_utf8("text"))
+    return found.select(F.col("file").alias("source_file"), F.col("size").alias("source_size"), "offset", "text")
+
+
 def read_corpus(spark: SparkSession, path: str, fmt: str = "parquet", text_col: str = "text") -> DataFrame:
     """Scan a corpus (A1).  ``parquet``: a table with a text column; ``text``:
-    every file is one document (whole-file read), keyed by a hash of its path.
+    every file is one document (whole-file read), keyed by a hash of its path;
+    ``lines``: files of any size in pieces (``scan_text``), keyed by ``doc_id``, a
+    struct of file and offset that has the corpus's order.
     Newlines are normalized as a text-mode read would; ``source_file`` and
     ``source_size`` carry the provenance of each row (A14)."""
+    if fmt == "lines":
+        df = scan_text(spark, path)
+        return df.select(F.struct("source_file", "offset").alias("doc_id"), normalize_newlines("text").alias(text_col), "source_file", "source_size")
     if fmt == "parquet":
         df = spark.read.parquet(path)
     elif fmt == "text":

@@ -62,7 +62,7 @@ def test_sequential_blocks(spark):
     flat = _flat(rows)
     L = 32
     t = ds.token_offsets(df)
-    got = sorted((r.seq, r.x, r.y) for r in ds.sequential_blocks(ds.token_blocks(t, L), len(flat), L).collect())
+    got = sorted((r.seq, r.x, r.y) for r in ds.sequential_blocks(ds.token_blocks(t, L, overlap=1), len(flat), L).collect())
     assert len(got) == (len(flat) - 1) // L
     for k, x, y in got:
         assert x == flat[k * L:(k + 1) * L] and y == flat[k * L + 1:(k + 1) * L + 1]
@@ -132,3 +132,68 @@ def test_tokens_pass_through_no_window(spark):
         output = w.output()
         names = {output.apply(k).name() for k in range(output.size())}
         assert "ids" not in names and "doc_id" not in names
+
+
+def test_offsets_by_strings_and_structs(spark):
+    """Any key that can be ordered, with a null and a hot prefix."""
+    import random
+
+    rng = random.Random(1)
+    names = sorted({"hot/" + str(rng.randrange(10**6)) if rng.random() < 0.7 else rng.choice("aé日z") + str(rng.random()) for _ in range(200)})
+    rows = [(n, rng.randrange(5)) for n in [*names, None]]
+    rng.shuffle(rows)
+    df = spark.createDataFrame([(n, (len(n or "") % 3, n), list(range(c))) for n, c in rows], "name string, place struct<part:int,name:string>, ids array<int>").repartition(3)
+
+    def want(order):
+        pos, out = 0, {}
+        for n, c in sorted(rows, key=order):
+            out[n] = pos
+            pos += c
+        return out
+
+    got = {r.name: r.start_pos for r in ds.token_offsets(df, "name", bucket_keys=30).collect()}
+    assert got == want(lambda r: (r[0] is not None, (r[0] or "").encode()))
+    got = {r.name: r.start_pos for r in ds.token_offsets(df, "place", bucket_keys=30).collect()}
+    assert got == want(lambda r: (len(r[0] or "") % 3, r[0] is not None, (r[0] or "").encode()))
+    with pytest.raises(Exception, match="repeated key"):
+        ds.token_offsets(df.union(df.limit(1)), "name").collect()
+
+
+def test_tokens_are_made_once(spark):
+    """What makes the token table runs once, whatever the offsets read it for."""
+    made = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    df = spark.range(500).selectExpr("id doc_id", "array(1, 2, 3) ids").repartition(3).mapInArrow(run, "doc_id long, ids array<int>")
+    assert ds.token_offsets(df, bucket_keys=50).where("start_pos = 3 * doc_id").count() == 500
+    assert made.value == 500
+
+
+def test_a_kept_layout_reads_only_what_windows_need(spark, tmpdir_fresh):
+    ids = list(range(60_000))
+    df = spark.createDataFrame([(k, ids[k * 100:(k + 1) * 100]) for k in range(600)], "doc_id long, ids array<int>")
+    blocks = ds.token_blocks(ds.token_offsets(df), 17)
+    ds.write_blocks(blocks, tmpdir_fresh + "/b", partitions=4, row_group_bytes=4096)
+    starts = ds.window_starts(spark, 40_000, 40_400, 16, 4, 3, seed=2)
+    some = ds.read_blocks(spark, tmpdir_fresh + "/b", starts, 17, ranges=3)
+    rows = ds.sample_windows(some, starts, 16, 17).collect()
+    assert len(rows) == 12 and all(r.x == ids[r.start:r.start + 16] and r.y == ids[r.start + 1:r.start + 17] for r in rows)
+    # rows that leave the scan, before the filter above it
+    some.collect()
+    plan = some._jdf.queryExecution().executedPlan()
+    scan = plan.collectLeaves().head()
+    assert scan.metrics().apply("numOutputRows").value() < 900 < ds.read_blocks(spark, tmpdir_fresh + "/b").count()
+    assert ds.read_blocks(spark, tmpdir_fresh + "/b", starts.limit(0), 17).count() == 0
+
+
+@pytest.mark.parametrize("k", [0, 1, 7, 250, 499, 500, 800])
+def test_sampling_keeps_the_smallest_hashes(spark, k):
+    from corpusmill.functions.hashing import md5_bits
+
+    df = spark.range(500).withColumnRenamed("id", "k").repartition(3)
+    order = [r.k for r in df.withColumn("h", md5_bits(F.lit(9), "k")).orderBy("h", "k").collect()]
+    assert sorted(r.k for r in ds.sample_without_replacement(df, k, 9, "k").collect()) == sorted(order[:k])

@@ -9,7 +9,9 @@ about equal frequency; a word's vector counts its letters of each.  An edit take
 letter away, adds one, or both: so a near word's vector has at most one unit of surplus
 in one group and one unit of deficit in one.  Words are arranged in a trie by their
 length and the successive counts; a search goes down with a budget of one surplus and
-one deficit, and the words of each leaf that it reaches are verified.
+one deficit, and the words of each leaf that it reaches are verified.  Of two words
+only one searches for the other: the longer, or with equal lengths the one from which
+the surplus comes before the deficit (words of one vector both do).
 
 Spark holds the upper part of the trie: a node is a length and the first counts, sized
 by a map-side aggregate.  Searches enter it a level at a time, by joins, and spread only
@@ -18,8 +20,7 @@ lower part of the trie in a task, and the searches that reach it stream by.  A l
 node is split by its next count.  Where the counts are used up, a leaf still larger
 (words that are permutations of a few letter groups) is searched by joins on words less
 one code point, of which a key has at most as many as the alphabet.  Nodes that very
-many searches reach are dealt out several times.  A longer word searches for shorter
-ones, and words of one length for each other.
+many searches reach are dealt out several times.
 
 Scale: texts are scanned once; only counted words are shuffled.  The driver learns the
 letters and their counts (bounded by the alphabet) and table sizes.
@@ -79,14 +80,19 @@ def _key(depth: int) -> Column:
     return F.concat(F.array("len"), F.slice("vec", 1, depth))
 
 
+#: What a search has left to spend: nothing, a deficit, or a surplus and then a deficit.
+DONE, DEFICIT, BOTH = 0, 1, 2
+
+
 def _spend(searches: DataFrame, level: int) -> DataFrame:
     """Each search goes on to the counts of the next level that its budget allows."""
-    c, up, down = F.col("vec")[level], F.col("up"), F.col("down")
-    step = lambda k, u, d: F.struct((c + k).alias("c"), (up - u).alias("up"), (down - d).alias("down"))
-    ways = F.filter(F.array(step(0, 0, 0), step(1, 1, 0), step(-1, 0, 1)), lambda s: (s["c"] >= 0) & (s["up"] >= 0) & (s["down"] >= 0))
-    rest = [x for x in searches.columns if x not in ("key", "up", "down")]
+    c, left = F.col("vec")[level], F.col("budget")
+    stay = F.struct(c.alias("c"), left.alias("budget"))
+    more = F.struct((c + F.when(left == BOTH, 1).otherwise(-1)).alias("c"), (left - 1).alias("budget"))
+    ways = F.filter(F.array(stay, more), lambda s: (s["c"] >= 0) & (s["budget"] >= 0))
+    rest = [x for x in searches.columns if x not in ("key", "budget")]
     return (searches.select(*rest, "key", F.explode(ways).alias("way"))
-            .select(*rest, F.concat("key", F.array("way.c")).alias("key"), "way.up", "way.down"))
+            .select(*rest, F.concat("key", F.array("way.c")).alias("key"), "way.budget"))
 
 
 def one_edit(a: str, b: str) -> bool:
@@ -113,27 +119,49 @@ class Trie:
             node = node.setdefault(c, {})
         node[word] = n
 
-    def _leaves(self, counts: list[int], up: int, down: int) -> Iterator[dict]:
-        todo = [(self.root, 0, up, down)]
-        while todo:
-            node, level, up, down = todo.pop()
-            if level == len(counts):
-                yield node
-                continue
-            c = counts[level]
-            for way, u, d in ((c, up, down), (c + 1, up - 1, down), (c - 1, up, down - 1)):
-                if u >= 0 and d >= 0 and way in node:
-                    todo.append((node[way], level + 1, u, d))
-
-    def near(self, counts: list[int], word: str, length: int, up: int, down: int) -> Iterator[tuple[str, int]]:
-        """Words of that length that are one edit away.  A crowded leaf is asked for the edits of the word instead."""
-        for leaf in self._leaves(counts, up, down):
-            if length < len(word) and len(leaf) > len(word):
-                yield from ((t, leaf[t]) for t in {word[:k] + word[k + 1:] for k in range(len(word))} if t in leaf)
-            elif length == len(word) and len(leaf) > len(word) * len(self.letters):
-                yield from ((t, leaf[t]) for k in range(len(word)) for c in self.letters if c != word[k] and (t := word[:k] + c + word[k + 1:]) in leaf)
-            else:
-                yield from ((t, n) for t, n in leaf.items() if one_edit(word, t))
+    @staticmethod
+    def _same(node: dict, counts: list[int], level: int) -> dict | None:
+        for c in counts[level:]:
+            node = node.get(c)
+            if node is None:
+                return None
+        return node
+
+    def _less(self, node: dict, counts: list[int], level: int) -> Iterator[dict]:
+        """Leaves with one unit less in one group from ``level`` on."""
+        for k in range(level, len(counts)):
+            c = counts[k]
+            if c and (way := node.get(c - 1)) is not None and (leaf := self._same(way, counts, k + 1)) is not None:
+                yield leaf
+            node = node.get(c)
+            if node is None:
+                return
+
+    def leaves(self, counts: list[int], budget: int) -> Iterator[tuple[dict, bool]]:
+        """Leaves within the budget, and whether their counts are those of the search."""
+        if budget == DEFICIT:
+            yield from ((leaf, False) for leaf in self._less(self.root, counts, 0))
+        elif budget == DONE:
+            if (leaf := self._same(self.root, counts, 0)) is not None:
+                yield leaf, False
+        else:
+            node = self.root
+            for k, c in enumerate(counts):
+                if (way := node.get(c + 1)) is not None:
+                    yield from ((leaf, False) for leaf in self._less(way, counts, k + 1))
+                node = node.get(c)
+                if node is None:
+                    return
+            yield node, True
+
+    def near(self, leaf: dict, word: str, length: int) -> Iterator[tuple[str, int]]:
+        """Words of a leaf, all of that length, that are one edit away.  A crowded leaf is asked for the edits of the word instead."""
+        if length < len(word) and len(leaf) > len(word):
+            yield from ((t, leaf[t]) for t in {word[:k] + word[k + 1:] for k in range(len(word))} if t in leaf)
+        elif length == len(word) and len(leaf) > len(word) * len(self.letters):
+            yield from ((t, leaf[t]) for k in range(len(word)) for c in self.letters if c != word[k] and (t := word[:k] + c + word[k + 1:]) in leaf)
+        else:
+            yield from ((t, n) for t, n in leaf.items() if one_edit(word, t))
 
 
 def _search(letters: str):
@@ -148,19 +176,17 @@ def _search(letters: str):
                                               names=["word", "n", "near", "near_n"])
 
         for b in batches:
-            for r in b.to_pylist():
-                own = (r["key"], r["salt"])
+            for own, length, word, n, counts, budget in zip(*(b.column(c).to_pylist() for c in ("node", "length", "word", "n", "counts", "budget")), strict=True):
                 if own != group:
                     group, trie = own, Trie(letters)
-                counts = r["vec"][len(r["key"]) - 1:]
-                if r["up"] is None:
-                    trie.add(counts, r["word"], r["n"])
+                if budget is None:
+                    trie.add(counts, word, n)
                     continue
-                length = r["key"][0]
-                for t, n in trie.near(counts, r["word"], length, r["up"], r["down"]):
-                    out.append((r["word"], r["n"], t, n))
-                    if length < len(r["word"]):  # words of one length find each other
-                        out.append((t, n, r["word"], r["n"]))
+                for leaf, alike in trie.leaves(counts, budget):
+                    for t, m in trie.near(leaf, word, length):
+                        out.append((word, n, t, m))
+                        if not alike:  # words of one vector find each other; else only this one searches
+                            out.append((t, m, word, n))
                 if len(out) >= 20_000:
                     yield made()
                     out.clear()
@@ -174,14 +200,16 @@ def _by_less(entries: DataFrame, searches: DataFrame) -> DataFrame:
     """Near words in leaves of any size: by words less one code point.  A key has no more than the alphabet."""
     less = lambda c: F.transform(F.sequence(F.lit(1), F.char_length(c)), lambda k: F.struct(
         k.alias("at"), F.concat(F.substr(F.col(c), F.lit(1), k - 1), F.substr(F.col(c), k + 1)).alias("rest")))
-    asked = searches.select("word", "n", F.col("key")[0].alias("length"), "key").distinct()
-    shorter = (asked.where(F.col("length") < F.char_length("word")).select("word", "n", F.explode(F.array_distinct(F.transform(less("word"), lambda s: s["rest"]))).alias("near"))
-               .distinct().join(entries.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near").select("word", "n", "near", "near_n"))
-    theirs = entries.select(F.col("word").alias("near"), F.col("n").alias("near_n")).select("near", "near_n", F.inline(less("near")))
-    same = (asked.where(F.col("length") == F.char_length("word")).select("word", "n").distinct().select("word", "n", F.inline(less("word")))
-            .join(theirs, ["at", "rest"]).where("word <> near").select("word", "n", "near", "near_n"))
-    back = shorter.select(F.col("near").alias("word"), F.col("near_n").alias("n"), F.col("word").alias("near"), F.col("n").alias("near_n"))
-    return shorter.unionByName(back).unionByName(same)
+    shorter = F.col("key")[0] < F.char_length("word")
+    there = entries.select("key", F.col("word").alias("near"), F.col("n").alias("near_n"))
+    lost = F.array_distinct(F.transform(less("word"), lambda s: s["rest"]))
+    one = (searches.where(shorter).select("key", "word", "n", "budget", F.explode(lost).alias("near")).join(there, ["key", "near"])
+           .select("word", "n", "near", "near_n", "budget"))
+    same = (searches.where(~shorter).select("key", "word", "n", "budget", F.inline(less("word"))).join(there.select("key", "near", "near_n", F.inline(less("near"))), ["key", "at", "rest"])
+            .where("word <> near").select("word", "n", "near", "near_n", "budget"))
+    both = one.unionByName(same)
+    back = both.where(F.col("budget") != BOTH).select(F.col("near").alias("word"), F.col("near_n").alias("n"), F.col("word").alias("near"), F.col("n").alias("near_n"))
+    return both.drop("budget").unionByName(back)
 
 
 def near_words(vocabulary: DataFrame, groups: int = GROUPS, top: int = TOP, node: int = NODE, searches: int = SEARCHES) -> DataFrame:
@@ -189,8 +217,8 @@ def near_words(vocabulary: DataFrame, groups: int = GROUPS, top: int = TOP, node
     dealt = letter_groups(vocabulary, groups)
     counts = F.array(*(F.char_length("word") - F.char_length(F.translate("word", g, "")) if g else F.lit(0) for g in dealt))
     left = stored(vocabulary.select("word", "n", F.char_length("word").alias("len"), counts.alias("vec")), "vectors")
-    start = F.array(*(F.struct((F.col("len") + k).alias("length"), F.lit(u).alias("up"), F.lit(1).alias("down")) for k, u in ((-1, 0), (0, 1))))
-    going = left.select("word", "n", "vec", F.explode(start).alias("s")).select("word", "n", "vec", F.array("s.length").alias("key"), "s.up", "s.down")
+    start = F.array(*(F.struct((F.col("len") + k).alias("length"), F.lit(budget).alias("budget")) for k, budget in ((-1, DEFICIT), (0, BOTH))))
+    going = left.select("word", "n", "vec", F.explode(start).alias("s")).select("word", "n", "vec", F.array("s.length").alias("key"), "s.budget")
     depth = min(top, groups)
     for level in range(depth):
         going = _spend(going, level)
@@ -208,7 +236,7 @@ def near_words(vocabulary: DataFrame, groups: int = GROUPS, top: int = TOP, node
             break
         going = going.where(~small).drop("size")
         if depth == groups:
-            found = _by_less(rest, going)
+            found = _by_less(rest.withColumn("key", _key(depth)), going)
             break
         left, going, depth = rest, _spend(going, depth), depth + 1
     union = lambda dfs: dfs[0] if len(dfs) == 1 else union([dfs[0].unionByName(dfs[1]), *dfs[2:]])
@@ -218,9 +246,10 @@ def near_words(vocabulary: DataFrame, groups: int = GROUPS, top: int = TOP, node
     hot = F.broadcast(asked.groupBy("key").count().where(F.col("count") > most).select("key", F.ceil(F.col("count") / most).cast("int").alias("parts")))
     asked = asked.join(hot, "key", "left").withColumn("salt", F.coalesce(F.pmod(F.hash("word"), F.col("parts")), F.lit(0))).drop("parts")
     owned = owned.join(hot, "key", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
-    void = F.lit(None).cast("int")
-    both = owned.withColumns({"up": void, "down": void}).unionByName(asked).select("key", "salt", "word", "n", "vec", "up", "down")
-    met = both.repartition("key", "salt").sortWithinPartitions("key", "salt", F.col("up").asc_nulls_first())
+    both = owned.withColumn("budget", F.lit(None).cast("int")).unionByName(asked)
+    below = F.slice("vec", F.size("key"), F.size("vec"))  # the counts that the node's key doesn't have
+    met = (both.select(F.concat_ws(",", F.concat("key", F.array("salt"))).alias("node"), F.col("key")[0].alias("length"), "word", "n", below.alias("counts"), "budget")
+           .repartition("node").sortWithinPartitions("node", F.col("budget").asc_nulls_first()))
     out = met.mapInArrow(_search("".join(dealt)), "word string, n long, near string, near_n long")
     return out if found is None else out.unionByName(found)
 

@@ -120,8 +120,8 @@ def accent_map(ascii_only: bool) -> tuple[str, str]:
     decomposition minus marks is a single different character maps to it.
     With ``ascii_only`` only mappings onto a strict-mode allowed character are
     kept (anything else becomes a space in strict mode anyway).  Characters
-    decomposing into several non-mark characters (Hangul syllables) are left
-    unchanged: one character cannot expand through ``translate``.
+    decomposing into several non-mark characters (``HANGUL``, ``expanding_map``) are
+    not in it: one character cannot expand through ``translate``.
     """
     mapped_src, mapped_dst, deleted = [], [], []
     for cp in range(0x80, _MAX_CP + 1):
@@ -145,6 +145,24 @@ def accent_map(ascii_only: bool) -> tuple[str, str]:
     return "".join(mapped_src) + "".join(deleted), "".join(mapped_dst)
 
 
+#: Fixed values of Unicode: Hangul syllables; first code point and number of lead, vowel and tail letters.
+HANGUL = (0xAC00, 0xD7A3)
+JAMO = ((0x1100, 19), (0x1161, 21), (0x11A8, 27))
+
+
+@functools.lru_cache(maxsize=None)
+def expanding_map() -> dict[str, str]:
+    """Characters, Hangul syllables apart, whose decomposition without marks has several characters."""
+    out = {}
+    for cp in range(0x80, _MAX_CP + 1):
+        if _is_surrogate(cp) or HANGUL[0] <= cp <= HANGUL[1] or unicodedata.category(chr(cp)) == "Mn":
+            continue
+        base = _strip_marks(chr(cp))
+        if len(base) > 1:
+            out[chr(cp)] = base
+    return out
+
+
 def emoji_class() -> str:
     return ranges_to_class(EMOJI_RANGES)
 

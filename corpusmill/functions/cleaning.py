@@ -20,9 +20,30 @@ def _col(c) -> Column:
 
 
 def strip_accents(c, ascii_only: bool = False) -> Column:
-    """NFD then drop nonspacing marks, per character (B1)."""
+    """NFD then drop nonspacing marks, per character (B1).
+
+    Characters of which one other stays are translated.  The rest of the decompositions
+    expand: Hangul syllables by their arithmetic, some characters by a small map; only
+    texts that have such a character are taken apart for it.  ``ascii_only`` keeps
+    mappings onto strict mode's characters, which has no use for the others."""
     src, dst = cc.accent_map(ascii_only)
-    return F.translate(_col(c), src, dst)
+    out = F.translate(_col(c), src, dst)
+    if ascii_only:
+        return out
+    wide = cc.expanding_map()
+    table = F.create_map(*(F.lit(x) for pair in wide.items() for x in pair))
+    lead, vowel, tail = (F.lit("".join(chr(first + k) for k in range(count))) for first, count in cc.JAMO)
+    per_lead, per_vowel = cc.JAMO[1][1] * (cc.JAMO[2][1] + 1), cc.JAMO[2][1] + 1
+
+    def apart(ch: Column) -> Column:
+        s = F.ascii(ch) - F.lit(cc.HANGUL[0])
+        at = lambda jamo, k: F.substr(jamo, k.cast("int"), F.lit(1))
+        rest = F.when(s % per_vowel > 0, at(tail, s % per_vowel)).otherwise(F.lit(""))
+        syllable = F.concat(at(lead, F.floor(s / per_lead) + 1), at(vowel, F.floor((s % per_lead) / per_vowel) + 1), rest)
+        return F.when((s >= 0) & (s <= cc.HANGUL[1] - cc.HANGUL[0]), syllable).otherwise(F.coalesce(F.try_element_at(table, ch), ch))
+
+    found = cc.ranges_to_class([cc.HANGUL, *sorted((ord(x), ord(x)) for x in wide)])
+    return F.when(out.rlike(found), F.array_join(F.transform(F.split(out, ""), apart), "")).otherwise(out)
 
 
 def keep_ascii_set(c) -> Column:

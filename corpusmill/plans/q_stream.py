@@ -32,7 +32,8 @@ def stream_char_vocab(spark, sf):
 
 
 @query("stream_totals", f"""
-select count(*)::BIGINT as docs, sum(length(text))::BIGINT as chars_in, sum(length({S.strict('text')}))::BIGINT as chars_out
+select count(*)::BIGINT as docs, sum(length(text))::BIGINT as chars_in, sum(length({S.strict('text')}))::BIGINT as chars_out,
+       sum(length({S.strict('text')}))::BIGINT as tokens, 100::DOUBLE as percent
 from documents""", "J3")
 def stream_totals(spark, sf):
     return cs.stream_totals(spark, _glob(sf), "strict")

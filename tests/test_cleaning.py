@@ -95,3 +95,18 @@ def test_unknown_mode():
 
 def test_null_and_empty(spark):
     assert _run(spark, [None, ""], cl.clean_balanced) == [None, ""]
+
+
+def test_strip_accents_of_every_code_point(spark):
+    """Canonical decomposition without nonspacing marks, as Python's tables have it."""
+    import unicodedata
+
+    all_chars = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    rows = [(k, "".join(all_chars[k:k + 64])) for k in range(0, len(all_chars), 64)]
+    # each character on a line of its own: marks of different ones must not be put in order
+    df = spark.createDataFrame([(k, "\n".join(t.replace("\n", " "))) for k, t in rows], "k int, t string").repartition(8)
+    for r in df.select("k", "t", cl.strip_accents(F.col("t")).alias("got")).collect():
+        want = "\n".join("".join(c for c in unicodedata.normalize("NFD", x) if unicodedata.category(c) != "Mn") for x in r.t.split("\n"))
+        assert r.got == want, r.k
+    one = spark.createDataFrame([("각 가 café 힣",), (None,), ("",)], "t string").select(cl.strip_accents(F.col("t")).alias("o")).collect()
+    assert [r.o for r in one] == [unicodedata.normalize("NFD", "각 가 cafe 힣"), None, ""]

@@ -78,3 +78,43 @@ def test_write_corpus_and_compression_report(spark, tmpdir_fresh):
     toks = docs.select("doc_id", codec.encode(F.col("text")).alias("ids"))
     r = io.compression_report(spark, toks, tmpdir_fresh + "/cmp", "gzip").first()
     assert r.input_bytes > r.output_bytes > 0 and 0 < r.reduction_pct < 100
+
+
+def _three_files(spark, folder):
+    texts = [["abca", "é"], ["xyz ca", None, ""], ["a" * 50]]
+    for k, part in enumerate(texts):
+        spark.createDataFrame([(10 * k + i, t, "en", "s", 0) for i, t in enumerate(part)], cs.DOC_SCHEMA).coalesce(1).write.parquet(f"{folder}/in/f{k}")
+    return f"{folder}/in/*/*.parquet", [t for part in texts for t in part]
+
+
+def test_progress_rows_run_up_to_the_batch_totals(spark, tmpdir_fresh):
+    glob, texts = _three_files(spark, tmpdir_fresh)
+    rows = sorted(cs.stream_progress(spark, glob, "balanced", max_files_per_trigger=1, encode=lambda c: F.split(c, " ")).collect(), key=lambda r: r.batch)
+    assert len(rows) == 3 and [r.docs for r in rows][-1] == len(texts)
+    assert all(x.share < y.share and x.docs < y.docs for x, y in zip(rows, rows[1:])) and rows[-1].share == 1.0
+    assert rows[-1].chars_in == sum(len(t or "") for t in texts)
+    words = spark.createDataFrame([(t,) for t in texts], "t string").agg(F.sum(F.size(F.split(cl.clean(F.col("t"), "balanced"), " ")))).first()[0]
+    assert rows[-1].tokens == words
+    last = cs.stream_totals(spark, glob).first()
+    assert (last.docs, last.chars_in, last.tokens, last.percent) == (len(texts), rows[-1].chars_in, last.chars_out, 100.0)
+
+
+def test_a_failure_between_batches_leaves_a_whole_table(spark, tmpdir_fresh, monkeypatch):
+    from collections import Counter
+
+    glob, texts = _three_files(spark, tmpdir_fresh)
+    out, point, schema = tmpdir_fresh + "/out", cs._point, "ch string, n long"
+    assert cs.published(spark, out, schema).count() == 0
+
+    def failing(spark, out, version):
+        if version == 1:
+            raise RuntimeError("lost before it was published")
+        point(spark, out, version)
+
+    monkeypatch.setattr(cs, "_point", failing)
+    with pytest.raises(Exception, match="lost before"):
+        cs.stream_char_counts(spark, glob, out, max_files_per_trigger=1)
+    first = {r.ch: r.n for r in cs.published(spark, out, schema).collect()}
+    monkeypatch.setattr(cs, "_point", point)
+    got = {r.ch: r.n for r in cs.stream_char_counts(spark, glob, out, max_files_per_trigger=1).collect()}
+    assert got == Counter("".join(t or "" for t in texts)) and 0 < sum(first.values()) < sum(got.values())

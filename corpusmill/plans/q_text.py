@@ -51,7 +51,16 @@ def _scalar_query(name, fn, sql_fn, section):
     query(name, f"select doc_id, {sql_fn('text')} as out from {_inj_sql()}", section)(build)
 
 
-_scalar_query("strip_accents", lambda c: cl.strip_accents(c), lambda x: f"strip_accents({x})", "B1")
+def _decomposed_sql(x):
+    """``strip_accents`` puts Hangul syllables together again: take them apart by the standard's arithmetic."""
+    s = "(unicode(c) - 44032)"
+    apart = (f"chr((4352 + {s} // 588)::INTEGER) || chr((4449 + {s} % 588 // 28)::INTEGER) || "
+             f"case when {s} % 28 > 0 then chr((4519 + {s} % 28)::INTEGER) else '' end")
+    return (f"array_to_string(list_transform(string_split(strip_accents({x}), ''), "
+            f"lambda c: case when unicode(c) between 44032 and 55203 then {apart} else c end), '')")
+
+
+_scalar_query("strip_accents", lambda c: cl.strip_accents(c), _decomposed_sql, "B1")
 _scalar_query("keep_ascii_set", cl.keep_ascii_set, S.ascii_set, "B2")
 _scalar_query("remove_emojis", cl.remove_emojis, S.emojis, "B3")
 _scalar_query("remove_cjk", cl.remove_cjk, S.cjk, "B4")

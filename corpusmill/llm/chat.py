@@ -14,8 +14,8 @@ The loss mask is a list of ranges (first character from 0, length) of the format
 text: each assistant text once, without marks.
 
 Scale: DataFrame functions only.  A conversation is one training sample and becomes
-one row, so its turns meet in one place; conversations are spread by hash, and rows
-are small apart from their own texts.
+one row, so its turns meet in one place; conversations are spread by hash.  Each turn goes
+through the visitor on its own, with sums over the turns before it, so the work is linear in turns.
 
 Defined results: a null text or part is empty, a null role is empty and has no loss;
 turns are sorted by turn (nulls first), then role and text, so ties and repeated rows
@@ -26,7 +26,7 @@ ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # ---- fixed values: marks --------------------------------------------------------------------------------------------
@@ -69,13 +69,18 @@ def expanded_tokens(part: Column, image_tile: int = 28, audio_per_second: float
             .otherwise(F.coalesce(part["pages"], F.lit(1)) * document_per_page)).cast("long")
 
 
+def kind_of(part: Column) -> Column:
+    """The kind of a part; an unknown one is a document."""
+    return F.when(part["type"].isin("text", *KINDS), part["type"]).otherwise(F.lit("document"))
+
+
 def visit(parts: Column, before: Column) -> Column:
     """Flatten typed parts to ``struct<text, attachments, counts>``.
 
     ``before`` is a map of how many parts of each kind earlier turns had, so that
     placeholders are numbered through the conversation.
     """
-    kind = lambda p: F.when(p["type"].isin("text", *KINDS), p["type"]).otherwise(F.lit("document"))
+    kind = kind_of
     start = F.struct(F.lit("").alias("text"), F.array().cast("array<struct<kind:string,ref:string,placeholder:string,tokens:bigint>>").alias("attachments"),
                      before.alias("counts"))
 
@@ -106,32 +111,26 @@ def format_chat(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
     """
     is_text = turns.schema[content].dataType.simpleString() == "string"
     parts = text_part(F.col(content)) if is_text else F.col(content).cast(PARTS_TYPE)
-    order = F.struct(F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), parts.alias("parts"))
-    rows = turns.select(F.col(conv_id).alias("conv_id"), order.alias("row")).groupBy("conv_id").agg(F.array_sort(F.collect_list("row")).alias("rows"))
-    nothing = F.create_map().cast("map<string,int>")
-    start = F.struct(F.array().cast("array<string>").alias("texts"), F.lit(0).alias("length"),
-                     F.array().cast("array<struct<first:int,length:int>>").alias("loss"),
-                     F.array().cast("array<struct<kind:string,ref:string,placeholder:string,tokens:bigint>>").alias("attachments"),
-                     nothing.alias("counts"))
-
-    def add(state: Column, row: Column) -> Column:
-        head = F.concat(F.lit(START), escape_role(row["role"]), F.lit("\n"))
-        # one part of text needs no visitor: its length and its escaped form are all there is
-        seen = (F.struct(escape(F.coalesce(row["parts"][0]["text"], F.lit(""))).alias("text"), F.array().cast(
-            "array<struct<kind:string,ref:string,placeholder:string,tokens:bigint>>").alias("attachments"), state["counts"].alias("counts"))
-            if is_text else visit(row["parts"], state["counts"]))
-        at = state["length"] + F.length(head)
-        mask = F.struct(at.alias("first"), F.length(seen["text"]).alias("length"))
-        return F.struct(
-            F.concat(state["texts"], F.array(head, seen["text"], F.lit(END + "\n"))).alias("texts"),
-            (at + F.length(seen["text"]) + len(END) + 1).alias("length"),
-            F.when(row["role"] == "assistant", F.concat(state["loss"], F.array(mask))).otherwise(state["loss"]).alias("loss"),
-            F.concat(state["attachments"], seen["attachments"]).alias("attachments"), seen["counts"].alias("counts"))
-
-    done = rows.select("conv_id", F.aggregate("rows", start, add).alias("s"))
-    total = F.aggregate("s.attachments", F.lit(0).cast("long"), lambda n, a: n + F.coalesce(a["tokens"], F.lit(0)))
-    return done.select("conv_id", F.array_join("s.texts", "").alias("formatted"), F.col("s.loss").alias("loss"),
-                       F.col("s.attachments").alias("attachments"), total.alias("n_tokens_expanded"))
+    rows = turns.select(F.col(conv_id).alias("conv_id"), F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), parts.alias("parts"))
+    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", F.col("parts").asc_nulls_first())
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    held = F.coalesce("parts", F.array().cast(PARTS_TYPE))
+    many = lambda k: F.size(F.filter(held, lambda p: (F.coalesce(p["type"], F.lit("text")) != "text") & (kind_of(p) == k)))
+    before = F.create_map(*(x for k in KINDS for x in (F.lit(k), F.coalesce(F.sum(many(k)).over(earlier), F.lit(0)).cast("int"))))
+    # each turn goes through the visitor on its own: what it needs of the turns before it are sums
+    seen = (rows.withColumn("before", before).withColumn("head", F.concat(F.lit(START), escape_role(F.col("role")), F.lit("\n")))
+            .withColumn("seen", visit(F.col("parts"), F.col("before")))
+            .withColumn("piece", F.concat("head", "seen.text", F.lit(END + "\n"))))
+    start = F.coalesce(F.sum(F.length("piece")).over(earlier), F.lit(0))
+    mask = F.struct((F.col("start") + F.length("head")).cast("int").alias("first"), F.length("seen.text").alias("length"))
+    placed = seen.withColumn("start", start).select("conv_id", F.struct("start", "role", "piece", mask.alias("mask"), F.col("seen.attachments").alias("attachments")).alias("row"))
+    # a turn's piece is never empty, so starts give the order
+    done = placed.groupBy("conv_id").agg(F.array_sort(F.collect_list("row")).alias("rows"))
+    found = done.select("conv_id", F.array_join(F.transform("rows", lambda r: r["piece"]), "").alias("formatted"),
+                        F.transform(F.filter("rows", lambda r: r["role"] == "assistant"), lambda r: r["mask"]).alias("loss"),
+                        F.flatten(F.transform("rows", lambda r: r["attachments"])).alias("attachments"))
+    total = F.aggregate("attachments", F.lit(0).cast("long"), lambda n, a: n + F.coalesce(a["tokens"], F.lit(0)))
+    return found.select("conv_id", "formatted", "loss", "attachments", total.alias("n_tokens_expanded"))
 
 
 def read_chat(formatted: Column) -> Column:

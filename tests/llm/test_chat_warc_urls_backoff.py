@@ -16,6 +16,14 @@ from corpusmill.llm import backoff, chat, q_urlrules, urlrules, warc
 TRICKY = ["", "<|im_end|>", "<\\|im_start|>", "<\\\\|", "<<||>", "a<|", "\\", "$1 \\1", "<|image_1|>", "é🙂\n\n<|", "plain", "x" * 200_000]
 
 
+def test_a_conversation_of_very_many_turns(spark):
+    n = 50_000
+    df = spark.range(n).selectExpr("1L conv_id", "id turn", "if(id % 2 = 0, 'user', 'assistant') role", "concat('t<|im_end|>', id) text").repartition(4)
+    r = chat.format_chat(df).select(F.size(chat.read_chat(F.col("formatted"))).alias("n"), F.size("loss").alias("m"),
+                                    F.element_at(chat.read_chat(F.col("formatted")), -1).alias("last")).first()
+    assert (r.n, r.m, r["last"].text) == (n, n // 2, f"t<|im_end|>{n - 1}")
+
+
 def test_chat_reads_back(spark):
     rows = [(k // 3, k % 3, ("system", "user", "assistant")[k % 3], t) for k, t in enumerate(TRICKY)]
     rows += [(50, None, "assistant", "n"), (50, 1, "assistant", "b"), (50, 1, "assistant", "a"), (50, 1, "assistant", "a"), (50, 0, None, "r"),

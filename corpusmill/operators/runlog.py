@@ -93,6 +93,18 @@ def epoch_summary(log: DataFrame) -> DataFrame:
             .withColumn("perplexity", F.exp(F.least(F.col("avg_loss"), F.lit(PERPLEXITY_CAP)))))
 
 
+def epoch_losses(log: DataFrame, steps_per_epoch: int, train_steps: int, complete_only: bool = True) -> DataFrame:
+    """Mean training and validation loss of each epoch: steps up to ``train_steps`` are
+    training.  A history has completed epochs: with ``complete_only`` one of fewer than
+    ``steps_per_epoch`` steps (a run's last, still going on) is left out; without it
+    stays, its validation loss null if no such step was made."""
+    out = (log.groupBy("run_id", "epoch")
+           .agg(F.avg(F.when(F.col("step") <= train_steps, F.col("loss"))).alias("train_loss"),
+                F.avg(F.when(F.col("step") > train_steps, F.col("loss"))).alias("val_loss"),
+                F.count(F.lit(1)).alias("_steps")))
+    return (out.where(F.col("_steps") == steps_per_epoch) if complete_only else out).drop("_steps")
+
+
 def run_summary(epochs: DataFrame, loss: str = "avg_loss") -> DataFrame:
     """Last and best loss per run and the first epoch reaching the best (H6)."""
     return epochs.groupBy("run_id").agg(

@@ -76,3 +76,12 @@ def test_prompt_guard(spark):
     got = [r.g for r in df.select(tx.prompt_guard("p", "ids").alias("g")).collect()]
     assert got == [tx.MSG_EMPTY, tx.MSG_UNENCODABLE, None, tx.MSG_EMPTY]
     assert df.select(tx.default_prompt("p").alias("d")).collect()[3].d == "\n"
+
+
+def test_epoch_losses_with_and_without_the_epoch_going_on(spark):
+    from corpusmill.operators import runlog as rl
+
+    rows = [(1, 1, s, float(s)) for s in (1, 2, 3, 4)] + [(1, 2, 1, 9.0)]
+    log = spark.createDataFrame(rows, "run_id long, epoch int, step int, loss double")
+    assert [tuple(r) for r in rl.epoch_losses(log, 4, 3).collect()] == [(1, 1, 2.0, 4.0)]
+    assert sorted(tuple(r) for r in rl.epoch_losses(log, 4, 3, complete_only=False).collect()) == [(1, 1, 2.0, 4.0), (1, 2, 9.0, None)]

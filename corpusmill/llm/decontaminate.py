@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.llm import textarrays as ta
-from corpusmill.llm.common import free_name, lower_ascii, stored
+from corpusmill.llm.common import free_name, lean, lower_ascii, stored
 
 N = 13
 #: Windows in one broadcast: about 200 MB with their words in Python.
@@ -194,7 +194,7 @@ def _carry(docs: DataFrame, index, text: str, spans: str, items: str, first: boo
                 [*own, pa.array([s for s, _ in after], _ARROW_SPANS), pa.array([sorted(i) for _, i in after], pa.list_(pa.string()))],
                 names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def _finish(docs: DataFrame, columns: list[str], index, text: str, spans: str, items: str, mode: str) -> DataFrame:
@@ -236,4 +236,4 @@ def _finish(docs: DataFrame, columns: list[str], index, text: str, spans: str, i
                        "hit_spans": pa.array([hits[r][0] if r in hits else [] for r in range(b.num_rows)], _ARROW_SPANS)}
             yield pa.RecordBatch.from_arrays([*[arrays[c] for c in kept], *[got[c] for c in found if got]], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.llm import textarrays as ta
+from corpusmill.llm.common import lean
 
 #: Labelled documents of each class that the fit reads at most.
 LABELLED = 50_000
@@ -117,10 +118,10 @@ def _counts(docs: DataFrame, text: str, doc_id: str, trusted) -> np.ndarray:
                                           pa.array([c.tobytes() for c in sums.values()], pa.binary())],
                                          names=["slice", "salt", "counts"])
 
-    part = docs.select(doc_id, text).mapInArrow(count, schema)
-    by_salt = part.repartition("slice", "salt").mapInArrow(add, schema).withColumn("salt", F.lit(0))
+    part = docs.select(doc_id, text).mapInArrow(lean(count), schema)
+    by_salt = part.repartition("slice", "salt").mapInArrow(lean(add), schema).withColumn("salt", F.lit(0))
     out = np.zeros((2, (1 << BITS) // _SLICE, _SLICE), dtype=np.int64)
-    for r in by_salt.repartition("slice").mapInArrow(add, schema).toLocalIterator():
+    for r in by_salt.repartition("slice").mapInArrow(lean(add), schema).toLocalIterator():
         out[:, r.slice] = np.frombuffer(r.counts, dtype=np.int64).reshape(2, _SLICE)
     return out.reshape(2, -1)
 
@@ -189,7 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
     # at most twice ``labelled`` ids: a proven bound, so the broadcast is safe
     rows = (docs.select(F.col(doc_id).alias("id"), F.col(text).alias("words")).join(F.broadcast(judged), "id")
             .select("id", "good", "words")
-            .mapInArrow(score, T.StructType([*judged.schema.fields, T.StructField("score", T.DoubleType())]))
+            .mapInArrow(lean(score), T.StructType([*judged.schema.fields, T.StructField("score", T.DoubleType())]))
             .groupBy("id", "good").agg(F.min("score").alias("score")).collect())
     return Model(weights, _threshold(np.array([r.score for r in rows if r.good]), np.array([r.score for r in rows if not r.good])))
 
@@ -257,4 +258,4 @@ def judge(docs: DataFrame, model: Model, text: str = "text", mode: str = "annota
             else:
                 yield pa.RecordBatch.from_arrays([*own, *(pa.array(got[f.name]) for f in RESULT.fields)], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)

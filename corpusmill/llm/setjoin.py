@@ -53,7 +53,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm import textarrays as ta
-from corpusmill.llm.common import stored
+from corpusmill.llm.common import lean, stored
 from corpusmill.llm.graph import components
 
 #: Texts that a task signs at once.
@@ -168,7 +168,7 @@ def _membership(docs: DataFrame, rule: Rule) -> DataFrame:
                                              names=["id", "size", "digest"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return stored(docs.mapInArrow(run, f"id {kind}, size long, digest binary"), "setjoin-members")
+    return stored(docs.mapInArrow(lean(run), f"id {kind}, size long, digest binary"), "setjoin-members")
 
 
 def _regrouped(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Array]:
@@ -241,10 +241,10 @@ def _shared_signatures(docs: DataFrame, rule: Rule, hot: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(s[at]), pa.array(n[at]), pa.array(t[at].astype(np.int32))],
                                                  names=["sig", "node", "tag"])
 
-    signed = docs.select("text").mapInArrow(sign, "sig long, node long, tag int")
+    signed = docs.select("text").mapInArrow(lean(sign), "sig long, node long, tag int")
     salt = F.when(F.col("tag").bitwiseAND(F.lit(_HOT)) != 0, F.col("node")).otherwise(F.lit(0).cast("long"))
     parts = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a task holds its share in memory
-    return stored(signed.repartition(parts, "sig", salt).mapInArrow(share, "sig long, node long, tag int"), "setjoin-shared")
+    return stored(signed.repartition(parts, "sig", salt).mapInArrow(lean(share), "sig long, node long, tag int"), "setjoin-shared")
 
 
 def _allocated(shared: DataFrame) -> DataFrame:
@@ -288,7 +288,7 @@ def _sets(docs: DataFrame, rule: Rule, wanted: DataFrame, broadcast_keys: int) -
             if names:
                 yield _set_batch(names, sets)
 
-    found = docs.select("text").mapInArrow(run, "node long, digest binary, set binary, sketch array<long>")
+    found = docs.select("text").mapInArrow(lean(run), "node long, digest binary, set binary, sketch array<long>")
     if not few:
         found = found.join(wanted, "node", "left_semi")
     # equal digests have equal sets: keep any one
@@ -349,7 +349,7 @@ def _common_tokens(sets: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(tokens), node.as_py(), dtype=np.int64)), pa.array(tokens)],
                                                  names=["node", "token"])
 
-    tokens = sets.select("node", "set").mapInArrow(run, "node long, token long")
+    tokens = sets.select("node", "set").mapInArrow(lean(run), "node long, token long")
     often = tokens.groupBy("token").agg(F.count("*").alias("n")).withColumn("shared", (F.col("n") > 1).cast("int")).select("token", "shared")
     return tokens.join(often, "token").groupBy("node").agg(F.count("*").alias("size"), F.sum("shared").alias("common"))
 
@@ -395,7 +395,7 @@ def _possible(left: DataFrame, rule: Rule) -> DataFrame:
                 pairs.update(zip(np.minimum(i, j).tolist(), np.maximum(i, j).tolist(), strict=True))
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    return other.join(every, "sig").select("x", "y").mapInArrow(run, "a long, b long").distinct()
+    return other.join(every, "sig").select("x", "y").mapInArrow(lean(run), "a long, b long").distinct()
 
 
 def _links(checked: DataFrame, rule: Rule) -> DataFrame:

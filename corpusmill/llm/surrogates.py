@@ -38,6 +38,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusmill.llm.common import lean
+
 # ---- fixed values: forms of address by gender, and alphabets --------------------------------------------------------
 FEMALE = "Mrs Ms Mme Mlle Frau Sra Srta Signora Госпожа Г-жа Κυρία"
 MALE = "Mr Herr Sr Signor Господин Г-н Κύριος"
@@ -262,7 +264,7 @@ def _name_parts(value: str, gender: str) -> list[tuple[str, str]]:
     return [(w, gender if k == 0 and len(words) > 1 else "n") for k, w in enumerate(words)]
 
 
-@lru_cache(maxsize=100_000)
+@lru_cache(maxsize=8192)
 def surrogate(value: str, kind: str, gender: str, key: bytes) -> str:
     """The replacement of an entity; equal entities in other spellings get matching ones."""
     plain = _plain(value)
@@ -332,7 +334,7 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", mode: str = "rep
                             pa.array([[{"kind": a, "first": s, "last": e} for a, s, e in p] for _, p in got], places_type)]
                 yield pa.RecordBatch.from_arrays(own, names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -352,7 +354,7 @@ def entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in zip(*rows, strict=True)] if rows else [pa.array([], pa.string())] * 3,
                                              names=["kind", "entity", "surrogate"])
 
-    found = docs.select(F.col(text).alias("text")).mapInArrow(run, "kind string, entity string, surrogate string")
+    found = docs.select(F.col(text).alias("text")).mapInArrow(lean(run), "kind string, entity string, surrogate string")
     return found.groupBy("kind", "entity", "surrogate").agg(F.count("*").alias("many"))
 
 

@@ -163,7 +163,7 @@ def test_support_is_the_same_at_every_size(spark):
 
 
 # ---- backoff --------------------------------------------------------------------------------------------------------
-def brute_scores(rows):
+def brute_scores(rows, least=1):
     words = [[w for w in re.findall(r"[^\x20\x09-\x0D]+", re.sub(r"[A-Z]", lambda m: m.group(0).lower(), t or ""))] for _, t in rows]
     n, pairs, context = Counter(), Counter(), Counter()
     for w in words:
@@ -173,18 +173,18 @@ def brute_scores(rows):
             context[v] += 1
     total, out = sum(n.values()), []
     for (i, _), w in zip(rows, words):
-        logs = [math.log(pairs[v, x] / context[v]) if pairs[v, x] >= 2 else math.log(0.4 * n[x] / total) for v, x in zip([None, *w], w)]
-        out.append((i, len(w), sum(pairs[v, x] >= 2 for v, x in zip([None, *w], w)), round(sum(logs) / len(w), 6) if w else None))
+        logs = [math.log(pairs[v, x] / context[v]) if pairs[v, x] >= least else math.log(0.4 * n[x] / total) for v, x in zip([None, *w], w)]
+        out.append((i, len(w), sum(pairs[v, x] >= least for v, x in zip([None, *w], w)), round(sum(logs) / len(w), 6) if w else None))
     return out
 
 
-@pytest.mark.parametrize("parts", [2000, 10, 1])
-def test_backoff_equals_plain_python(docs, monkeypatch, parts):
+@pytest.mark.parametrize("parts,least", [(2000, 1), (2000, 2), (10, 2), (1, 1), (1, 3)])
+def test_backoff_equals_plain_python(docs, monkeypatch, parts, least):
     monkeypatch.setattr(backoff, "HOT_PARTS", parts)
     monkeypatch.setattr(backoff, "_PACK", 500)
     rows = [(r.doc_id, r.text) for r in docs.collect()]
-    got = [(r.doc_id, r.n_words, r.n_pairs, r.score) for r in backoff.score(docs).collect()]
-    want = brute_scores(rows)
+    got = [(r.doc_id, r.n_words, r.n_pairs, r.score) for r in backoff.score(docs, least_pair=least).collect()]
+    want = brute_scores(rows, least)
     key = lambda r: (r[0] is None, r[0] or 0, r[1])
     for g, w in zip(sorted(got, key=key), sorted(want, key=key), strict=True):
         assert g[:3] == w[:3] and (g[3] is w[3] is None or abs(g[3] - w[3]) < 2e-6)

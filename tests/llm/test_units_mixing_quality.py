@@ -34,23 +34,30 @@ def brute_units(rows, sep, least):
     out = []
     for (i, t), own in zip(rows, cuts):
         gone = [i is not None and len(w) >= least and first[w] != (i, k) for k, (_, _, w) in enumerate(own)]
-        join = "\n" if sep == "\n" else "\n\n"
-        kept = None if t is None else join.join(t[a:b] for (a, b, _), g in zip(own, gone) if not g)
-        out.append((i, kept, 0 if t is None else len(own), [(a, b) for (a, b, _), g in zip(own, gone) if g]))
+        left = [(a, b) for (a, b, _), g in zip(own, gone) if not g]
+        if sep == "\n\n+":
+            kept = None if t is None else "\n\n".join(t[a:b] for a, b in left)
+        else:
+            kept = None if t is None else "".join(t[a - 1 if k else a:b] for k, (a, b) in enumerate(left))
+        longest = run = 0
+        for (_, _, w), g in zip(own, gone):
+            run = run + len(w) if g or not w else 0
+            longest = max(longest, run)
+        out.append((i, kept, 0 if t is None else len(own), [(a, b) for (a, b, _), g in zip(own, gone) if g], longest))
     return out
 
 
-@pytest.mark.parametrize("unit,sep", [("line", "\n"), ("paragraph", "\n\n")])
-def test_repeated_units(spark, docs, unit, sep):
+@pytest.mark.parametrize("unit,sep,least", [("line", "\n", 3), ("paragraph", "\n\n", 3), ("sentence", ". ", 1), ("sentence", "!\n", 3)])
+def test_repeated_units(spark, docs, unit, sep, least):
     rng = random.Random(2)
     pool = [" ".join(rng.choices(["é", "b!", "C", "dd"], k=k)) for k in (0, 1, 2, 3, 3, 4, 5, 6, 6, 9)]
     rows = [(k, sep.join(rng.choices(pool, k=rng.randrange(0, 6)))) for k in range(60)]
     rows += [(60, None), (61, ""), (62, sep), (None, pool[9]), (5, rows[5][1]), (63, "y " * 40_000 + sep + pool[8].upper() + "!")]
     df = spark.createDataFrame([(*r, "a", "b", 1) for r in rows], "doc_id long, text string, REMOVED string, _key string, unit int").repartition(3)
-    got = drop_repeats(df, unit=unit, min_words=3)
-    assert got.columns == ["doc_id", "text", "_key", "unit", "n_units", "n_removed", "removed"]
-    have = [(r.doc_id, r.text, r.n_units, [(x.first, x.end) for x in r.removed]) for r in got.collect()]
-    assert sorted(have, key=repr) == sorted(brute_units(rows, "\n" if unit == "line" else "\n\n+", 3), key=repr)
+    got = drop_repeats(df, unit=unit, min_words=least)
+    assert got.columns == ["doc_id", "text", "_key", "unit", "n_units", "n_removed", "removed", "longest"]
+    have = [(r.doc_id, r.text, r.n_units, [(x.first, x.end) for x in r.removed], r.longest) for r in got.collect()]
+    assert sorted(have, key=repr) == sorted(brute_units(rows, {"line": "\n", "paragraph": "\n\n+", "sentence": r"\n|(?<=[.!?]) "}[unit], least), key=repr)
     assert all(r.n_removed == len(r.removed) for r in got.collect())
     assert drop_repeats(df.limit(0), unit=unit).count() == 0
 
@@ -61,6 +68,13 @@ def test_newlines_that_end_one_text_and_begin_the_next(spark):
     assert got == {1: ("a b c\n", 1), 2: ("", 1), 3: ("x", 2)}
 
 
+def test_a_passage_with_other_line_breaks(spark):
+    said = [" ".join(f"w{k}x{j}" for j in range(9)) + "." for k in range(7)]
+    df = spark.createDataFrame([(1, "One. " + " ".join(said) + " End."), (2, "Two.\n" + "\n".join(said) + "\nOver."), (3, " . ! three")], "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: (r.text, r.longest) for r in drop_repeats(df, unit="sentence").collect()}
+    assert got == {1: (df.first().text, 0), 2: ("Two.\nOver.", 63), 3: (" . ! three", 0)}
+
+
 # ---- mixing ---------------------------------------------------------------------------------------------------------
 def shares_of(spark, p):
     return spark.createDataFrame([(float(x),) for x in p], "p double")

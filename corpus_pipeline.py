@@ -16,7 +16,7 @@ from corpusmill.llm.decontaminate import decontaminate
 from corpusmill.llm.mixing import mix
 from corpusmill.llm.q_surrogates import KEY
 from corpusmill.llm.setjoin import jaccard_components
-from corpusmill.llm.surrogates import collisions, entities, pseudonymise
+from corpusmill.llm.surrogates import again, pseudonymise
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,10 +49,7 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their personal data replaced by surrogates that don't collide."""
-    clash = collisions(entities(docs, KEY)).take(5)
-    if clash:
-        raise ValueError(f"surrogates collide: {clash}")
-    return pseudonymise(docs, KEY)
+    return pseudonymise(docs, KEY, again=again(docs, KEY))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

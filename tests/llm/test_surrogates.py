@@ -1,3 +1,4 @@
+import ipaddress
 import random
 import re
 
@@ -20,6 +21,7 @@ CASES = {
     "email": ["hein.19@mail5.example.com", "A_b%c@x-y.org", "élan.3@mail.fr"], "phone": ["+1 (743) 555-3824", "743-555-3824", "(743) 555-3824"],
     "ip": ["227.5.221.1", "0.0.0.0", "255.255.255.255"], "card": ["4785380592391139", "4111 1111 1111 1111", "3782-822463-10005"],
     "ssn": ["123-45-6789"], "iban": ["DE89370400440532013000", "GB29 NWBK 6016 1331 9268 19"],
+    "ipv6": ["2001:db8::8a2e:370:7334", "2001:0db8:85a3:0000:0000:8a2e:0370:7334", "FE80::1"],
     "secret": ["24be64439e3e49cf46b2d7c90f3602a3d0b907ff"],
 }
 
@@ -32,7 +34,9 @@ def test_type_and_format_stay(kind):
         new = s.surrogate(value, kind, "", b"key")
         (_, _, again, _), = s.find(f"see {new}, then")
         assert again == kind and new != value and new == s.surrogate(value, kind, "", b"key")
-        if kind != "ip":
+        if kind == "ipv6":
+            assert int(ipaddress.IPv6Address(new)) >> 112 == int(ipaddress.IPv6Address(value)) >> 112
+        elif kind != "ip":
             form = lambda t: re.sub(r"[^\W\d_]", "a", re.sub(r"\d", "a" if kind in ("secret", "iban") else "9", t))
             assert form(new) == form(value)
         else:
@@ -134,3 +138,114 @@ def test_spellings_of_one_entity_do_not_clash(spark):
         ("ip", "1.2.3.4"): 4, ("ip", "1.2.3.40"): 1, ("phone", "7435553824"): 2, ("card", "9784101010014"): 2}
     got = {r.doc_id: r.text for r in s.pseudonymise(df, KEY).collect()}
     assert got[0] == got[1] == got[2] == s._plain(got[3]) != got[4] and all(got[k] != t for k, t in rows)
+
+
+def own_mod_97(iban):
+    number = ""
+    for ch in re.sub(" ", "", iban[4:] if iban[4] != " " else iban[5:]) + iban[:4]:
+        number += ch if ch.isdigit() else str("ABCDEFGHIJKLMNOPQRSTUVWXYZ".index(ch) + 10)
+    return int(number) % 97
+
+
+def own_luhn(card):
+    digits = [int(c) for c in card if c.isdigit()][::-1]
+    return sum(d if k % 2 == 0 else sum(divmod(2 * d, 10)) for k, d in enumerate(digits)) % 10
+
+
+def planted(rng, k):
+    """``(kind, entity, spelling)`` made here, not found by the library."""
+    kind = ("iban", "card", "secret", "ipv6", "ip", "ssn", "email")[k % 7]
+    number = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    if kind == "iban":
+        account = number(18)
+        entity = next(v for c in range(2, 99) if own_mod_97(v := f"DE{c:02d}{account}") == 1)
+        return kind, entity, rng.choice([entity, " ".join(entity[j:j + 4] for j in range(0, 22, 4))])
+    if kind == "card":
+        head = "4" + number(14)
+        entity = next(v for c in "0123456789" if own_luhn(v := head + c) == 0)
+        return kind, entity, rng.choice([entity, "-".join(entity[j:j + 4] for j in range(0, 16, 4))])
+    if kind == "secret":
+        entity = "".join(rng.choice(rng.choice(["0123456789", "0123456789abcdef", "abcdefgh0123"])) for _ in range(8))
+        return kind, entity, entity
+    if kind == "ipv6":
+        entity = ipaddress.IPv6Address(0x20010DB8 << 96 | rng.getrandbits(96))
+        return kind, int(entity), rng.choice([entity.compressed, entity.exploded, entity.exploded.upper()])
+    if kind == "ip":
+        entity = ".".join(str(rng.randrange(256)) for _ in range(4))
+        return kind, entity, entity
+    if kind == "ssn":
+        entity = f"{number(3)}-{number(2)}-{number(4)}"
+        return kind, entity, entity
+    entity = f"{rng.choice('abcdef')}{number(4)}@example.org"
+    return kind, entity, rng.choice([entity, entity.upper()])
+
+
+def test_planted_entities_by_brute_force(spark):
+    """Texts whose entities are known by place: what is between them stays, equal entities have
+    equal surrogates however they are written, different ones different, and each is of its type."""
+    rng = random.Random(19)
+    pool = [planted(rng, k) for k in range(700)]
+    rows, truth = [], {}
+    for k in range(300):
+        some = [pool[rng.randrange(len(pool))] for _ in range(6)]
+        rows.append((k, "".join(f"{'password=' if kind == 'secret' else 'see '}{value} ;; " for kind, _, value in some)))
+        truth[k] = some
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert s.again(df, KEY) == {}
+    of, back = {}, {}
+    for r in s.pseudonymise(df, KEY).collect():
+        pieces = r.text.split(" ;; ")[:-1]
+        for (kind, entity, value), piece in zip(truth[r.doc_id], pieces, strict=True):
+            lead = "password=" if kind == "secret" else "see "
+            new = piece[len(lead):]
+            assert piece.startswith(lead) and new != value
+            plain = {"iban": lambda v: v.replace(" ", ""), "card": lambda v: v.replace("-", ""), "email": str.lower,
+                     "ipv6": lambda v: int(ipaddress.IPv6Address(v))}.get(kind, str)(new)
+            assert of.setdefault((kind, entity), plain) == plain and back.setdefault((kind, plain), entity) == entity and plain != entity
+            if kind == "iban":
+                assert own_mod_97(plain) == 1 and new.count(" ") == value.count(" ") and plain[:2] == "DE"
+            if kind == "card":
+                assert own_luhn(plain) == 0 and [c if c == "-" else "9" for c in new] == [c if c == "-" else "9" for c in value]
+            if kind == "secret":
+                assert not entity.isdigit() or plain.isdigit()
+    assert len(of) > 400
+
+
+def test_secrets_stay_apart():
+    for length, kinds in ((8, "0123456789"), (8, "0123456789abcdef"), (8, "aefgz019"), (60, "0123456789abcdef"), (60, "xyz019")):
+        rng = random.Random(length)
+        values = {"".join(rng.choice(kinds) for _ in range(length)) for _ in range(1500)}
+        new = {v: s.surrogate(v, "secret", "", b"key") for v in values}
+        assert len(set(new.values())) == len(values) and all(a != b and len(a) == len(b) for a, b in new.items())
+        for a, b in new.items():
+            assert s._is_hex(a) == s._is_hex(b) and a.isdecimal() == b.isdecimal()
+    upper = s.surrogate("DEADBEEF01", "secret", "", b"key")
+    assert upper == upper.upper() and upper.lower() == s.surrogate("deadbeef01", "secret", "", b"key")
+
+
+def test_later_mentions_of_a_name():
+    new, places = s.replaced("Mr John Smith said. John Smith left. Smith too; Smith's hat, SMITH, smith, Smithson. Mr Smith's. Mr John came.", b"key")
+    john, smith = new.split()[1:3]
+    assert new == (f"Mr {john} {smith} said. {john} {smith} left. {smith} too; {smith}'s hat, {smith.upper()}, smith, Smithson. "
+                   f"Mr {smith}'s. Mr {john} came.")
+    assert all(new[a:b + 1].lower() in (f"{john} {smith}".lower(), john.lower(), smith.lower()) for _, a, b in places) and len(places) == 8
+    other, _ = s.replaced("Frau Smith and John", b"key")  # no form of address: nobody known
+    assert other == f"Frau {smith} and John"
+
+
+def test_colliding_surrogates_get_another_key(spark, monkeypatch):
+    df = spark.createDataFrame([(k, f"at 10.0.0.{k} of a{k}@b.org") for k in range(5)], "doc_id long, text string")
+    more = {("ip", "10.0.0.3"): 1, ("ip", "10.0.0.4"): 2}
+    got = {r.doc_id: r.text for r in s.pseudonymise(df, KEY, again=more).collect()}
+    plain = {r.doc_id: r.text for r in s.pseudonymise(df, KEY).collect()}
+    assert [k for k in range(5) if got[k] != plain[k]] == [3, 4] and all(got[k].split()[3] == plain[k].split()[3] for k in range(5))
+    made, calls = s.entities, []
+
+    def first_collide(docs, key, text="text", again=None):
+        calls.append(again)
+        found = made(docs, key, text, again)
+        clash = s.F.col("entity").isin("10.0.0.1", "10.0.0.2", "10.0.0.3") & s.F.lit(not again)
+        return found.withColumn("surrogate", s.F.when(clash, "1.1.1.1").otherwise(s.F.col("surrogate")))
+
+    monkeypatch.setattr(s, "entities", first_collide)
+    assert s.again(df, KEY) == {("ip", "10.0.0.2"): 1, ("ip", "10.0.0.3"): 1} and len(calls) == 2

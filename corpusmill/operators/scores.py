@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.functions.hashing import md5_unit
+from corpusmill.functions.hashing import md5_unit_fine
 
 PERPLEXITY_CAP = 20.0
 RECENT_WINDOW = 50
@@ -111,13 +111,27 @@ def recency_penalty(z, history, penalty: float, last: int = RECENT_WINDOW) -> Co
 def weighted_draw(p, seed: int, row) -> Column:
     """One item drawn with probability proportional to ``p``.
 
-    Exponential race: item ``i`` gets key ``-ln(u_i) / p_i`` with a hashed
-    uniform ``u_i``; the smallest key wins.  Zero-probability items never win.
+    Inverse distribution: one hashed uniform a row, times the sum of the weights, is searched
+    for in the running sums; the item in whose share it falls is drawn.  Items of zero, negative,
+    null or NaN weight are never drawn; a row without any other gives null.  Weights are finite.
     """
-    p = _c(p)
-    keyed = F.transform(p, lambda x, i: F.when(
-        x > 0, F.struct((-F.log(md5_unit(F.lit(seed), _c(row), i)) / x).alias("k"), i.alias("item"))))
-    return F.array_min(F.filter(keyed, lambda s: s.isNotNull()))["item"]
+    def drawn(weights: Column) -> Column:
+        share = lambda x: F.when((x > 0) & ~F.isnan(x), x.cast("double")).otherwise(F.lit(0.0))
+        total = F.aggregate(weights, F.lit(0.0), lambda up, x: up + share(x))
+        # the point is a part of the state: a captured expression would be evaluated for each item
+        start = F.struct(F.lit(0.0).alias("up"), (md5_unit_fine(F.lit(seed), _c(row)) * total).alias("point"),
+                         F.lit(0).alias("at"), F.lit(-1).alias("item"), F.lit(-1).alias("last"))
+
+        def step(s: Column, x: Column) -> Column:
+            has, up = share(x) > 0, s["up"] + share(x)
+            return F.struct(up.alias("up"), s["point"].alias("point"), (s["at"] + 1).alias("at"),
+                            F.when((s["item"] < 0) & has & (up > s["point"]), s["at"]).otherwise(s["item"]).alias("item"),
+                            F.when(has, s["at"]).otherwise(s["last"]).alias("last"))
+
+        # a point that rounds up to the sum itself belongs to the last item
+        return F.aggregate(weights, start, step, lambda s: F.when(s["item"] >= 0, s["item"]).when(s["last"] >= 0, s["last"]))
+
+    return F.transform(F.array(_c(p)), drawn)[0]  # one element: the weights are computed once
 
 
 def next_item(z, seed: int, row, t: float = 1.0, k: int | None = None,

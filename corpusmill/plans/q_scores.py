@@ -120,10 +120,13 @@ def recency_penalty(spark, sf):
 
 
 def _draw_sql(src: str, seed: int) -> str:
-    u = S.md5_unit(f"concat_ws(':', {seed}, vec_id, i - 1)")
+    u = f"((('0x' || substr(md5(concat_ws(':', {seed}, vec_id)), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE)"
     return f"""
-dk as (select vec_id, list_transform(p, lambda x, i: case when x > 0 then -ln({u}) / x end) as keys from {src})
-select vec_id, (list_position(keys, list_min(keys)) - 1)::INTEGER as item from dk"""
+dk as (select vec_id, generate_subscripts(p, 1) as i, unnest(p) as x from {src}),
+cs as (select vec_id, i, {u} * sum(x) over (partition by vec_id) as point,
+              sum(x) over (partition by vec_id order by i rows between unbounded preceding and current row) as up
+       from dk where x > 0)
+select vec_id, (coalesce(min(i) filter (where up > point), max(i)) - 1)::INTEGER as item from cs group by vec_id"""
 
 
 @query("weighted_draw", f"with {Z_SQL}, {_softmax_sql('z', 'z')}, {_draw_sql('sm', 99)[1:]}", "G7")

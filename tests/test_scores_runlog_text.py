@@ -1,3 +1,6 @@
+import bisect
+import hashlib
+import itertools
 import math
 from collections import Counter
 
@@ -26,6 +29,25 @@ def test_softmax_topk_penalty(spark):
     assert r.off == [2.0, -1.0, 2.0, 0.5, 3.0]
 
 
+def test_weighted_draw_edges(spark):
+    nan = float("nan")
+    rows = [(1, [0.0, 0.0, 3.0]), (2, [0.0, -1.0, nan]), (3, []), (4, None), (5, [None, 2.0, nan]), (6, [5e-324, 0.0])]
+    df = spark.createDataFrame(rows, "id long, p array<double>")
+    got = {r.id: r.i for r in df.select("id", sc.weighted_draw("p", 7, "id").alias("i")).collect()}
+    assert got == {1: 2, 2: None, 3: None, 4: None, 5: 1, 6: 0}
+
+
+def test_weighted_draw_many_items(spark):
+    """Against a plain search in the running sums, over rows of 32,000 items."""
+    n = 32_000
+    df = spark.range(12).selectExpr("id", f"transform(sequence(1, {n}), i -> cast((i * 7919 + id) % 101 as double)) as p")
+    got = {r.id: (r.i, r.p) for r in df.select("id", "p", sc.weighted_draw("p", 3, "id").alias("i")).collect()}
+    for k, (i, p) in got.items():
+        u = (int(hashlib.md5(f"3:{k}".encode()).hexdigest()[:13], 16) + 0.5) / 2 ** 52
+        assert i == bisect.bisect_right(list(itertools.accumulate(p)), u * sum(p))
+    assert len({i for i, _ in got.values()}) > 8
+
+
 def test_weighted_draw_distribution(spark):
     p = [0.5, 0.3, 0.2, 0.0]
     df = spark.range(20000).select("id", F.array(*[F.lit(x) for x in p]).alias("p"))

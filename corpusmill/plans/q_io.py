@@ -136,8 +136,26 @@ def training_history(spark, sf):
         "best_epoch")
 
 
-@query("run_report", None, "A13")
+@query("run_report", f"""
+with g as (select user_id as run_id, value as loss, row_number() over (partition by user_id order by event_id) as gstep
+           from events),
+lg as (select run_id, (gstep - 1) // {E} + 1 as epoch, (gstep - 1) % {E} + 1 as step, loss from g),
+ep as (select run_id, epoch, avg(loss) filter (where step <= {TRAIN_STEPS}) as train_loss,
+              avg(loss) filter (where step > {TRAIN_STEPS}) as val_loss from lg group by all having count(*) = {E}),
+last as (select run_id, max(epoch)::INTEGER as epochs, arg_max(train_loss, epoch) as train_loss,
+                arg_max(val_loss, epoch) as val_loss, min(val_loss) as best_val_loss,
+                arg_min(epoch, (val_loss, epoch))::INTEGER as best_epoch from ep group by run_id)
+select run_id, 'documents.bin' as dataset_bin, epochs, 64::INTEGER as batch_size, 0.0003::DOUBLE as learning_rate,
+  0::DOUBLE as duration_minutes, 'cpu' as device, round(train_loss, 6) as final_train_loss, round(val_loss, 6) as final_val_loss,
+  round(ln(exp(train_loss)), 6) as final_train_perplexity_log, round(ln(exp(val_loss)), 6) as final_val_perplexity_log,
+  round(best_val_loss, 6) as best_val_loss, best_epoch from last""", "A13")
 def run_report(spark, sf):
+    """Each run's report as JSON, read back; perplexities as logarithms, since they may have any size."""
     h = io.training_history(_epochs(spark, sf))
     r = io.run_report(h, "documents.bin", batch_size=64, learning_rate=3e-4, duration_minutes=0.0)
-    return r.select("run_id", F.to_json(F.struct("dataset_bin", "training", "performance")).alias("report"))
+    report = F.struct("dataset_bin", "training", "performance")
+    back = r.select("run_id", F.from_json(F.to_json(report), r.select(report.alias("r")).schema["r"].dataType).alias("r"))
+    p = back.select("run_id", "r.dataset_bin", "r.training.*", "r.performance.*")
+    six = [F.round(c, 6).alias(c) for c in ("final_train_loss", "final_val_loss", "best_val_loss")]
+    logs = [F.round(F.log(c), 6).alias(f"{c}_log") for c in ("final_train_perplexity", "final_val_perplexity")]
+    return p.select("run_id", "dataset_bin", "epochs", "batch_size", "learning_rate", "duration_minutes", "device", *six, *logs, "best_epoch")

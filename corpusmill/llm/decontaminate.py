@@ -10,7 +10,8 @@ at most ``BLOCK_WINDOWS`` windows.  A benchmark with more is dealt over several
 blocks by hash; then documents pass through one scan per block, hits are kept as
 an extra column of the stored rows, and the verdict is taken after the last.
 
-Defined results: a null or empty text has no words and is never contaminated; an
+Defined results: an empty table of documents gives an empty one, and by an empty
+benchmark nothing is hit.  A null or empty text has no words and is never contaminated; an
 item without words has no window; an item with a null id marks words as hit but
 isn't listed; items with equal ids count once.  Repeated documents are judged one
 by one.  Columns of the documents besides the text column are carried along; one

@@ -15,7 +15,7 @@ average), the running sum over a source runs over blocks, and the running sum ov
 documents within one block.  The table of sources is a Spark table throughout; one
 row of numbers per bisection step reaches the driver.
 
-Defined results: a null source is a source of its own; a null text has no tokens,
+Defined results: an empty table gives an empty one.  A null source is a source of its own; a null text has no tokens,
 and documents without tokens are dealt out like others.  A source without tokens
 gets weight 0 and no document.  Null ids and repeated rows are documents of their
 own (equal rows stay neighbours).  Only the named columns are read.

@@ -17,7 +17,7 @@ Scale: documents are only scanned.  Each counting task sends one table of
 ``2 ** BITS`` counts in slices, which are summed in two levels; the model is that
 one table, whatever the corpus.  Nothing of a document is shuffled.
 
-Defined results: a null or empty text has no words, fails the base rules and
+Defined results: an empty table of documents gives an empty one.  A null or empty text has no words, fails the base rules and
 scores 0.  Ids labelled more than once count as untrusted if any label says so;
 null labels and labels of absent documents have no effect; without labels every
 score is 0 and only the base rules decide.  Repeated documents are judged alike.

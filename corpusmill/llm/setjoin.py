@@ -34,7 +34,7 @@ Copies are one node, known by a 128-bit digest of the set; a task signs it once.
 Sets are recomputed from the texts for candidate nodes only: their keys are
 broadcast if they are at most ``BROADCAST_KEYS``, else joined.
 
-Defined results: a null text and one without words have an empty set and link with
+Defined results: an empty table gives an empty one.  A null text and one without words have an empty set and link with
 nothing; shorter texts than ``n`` words have their whole word sequence as one
 shingle.  ``component`` is the smallest non-null id among linked documents (null if
 all their ids are null).  Repeated rows are documents of their own with equal sets.

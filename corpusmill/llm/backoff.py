@@ -44,7 +44,8 @@ from corpusmill.llm import textarrays as ta
 from corpusmill.llm.common import lean, stored
 
 BACKOFF = 0.4
-LEAST_PAIR = 1
+#: Occurrences from which the registered query scores a pair as one: its model is the scored corpus, so from 1 on no word would back off.
+LEAST_PAIR = 2
 #: A word or pair is hot if it is more than one in so many; so there are fewer hot ones than this.
 HOT_PARTS = 2000
 #: Pairs that a task packs at once, and words whose counts it adds up at once.
@@ -195,7 +196,7 @@ def _by_bucket(batches: Iterator[pa.RecordBatch], wanted: list[str]) -> Iterator
         yield now, held
 
 
-def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_pair: int = LEAST_PAIR, backoff: float = BACKOFF) -> DataFrame:
+def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_pair: int = 1, backoff: float = BACKOFF) -> DataFrame:
     """``(doc_id, n_words, n_pairs, score)``: words, those scored as pairs, and the mean log score, of each document."""
     spark = docs.sparkSession
     # equal rows share a key: their sums double, and the mean stays

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm.backoff import score
+from corpusmill.llm.backoff import LEAST_PAIR, score
 from corpusmill.llm.common import read
 
 
 def op8_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's score by the counts of all documents."""
-    return score(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    """Every document's score by the counts of all documents; words of pairs that occur once back off."""
+    return score(read(spark, sf_dir, "documents").select("doc_id", "text"), least_pair=LEAST_PAIR)
 
 
 SQL = {"op8_backoff": r"""
@@ -24,8 +24,8 @@ words AS MATERIALIZED (SELECT w, count(*) AS n FROM pairs GROUP BY w),
 contexts AS MATERIALIZED (SELECT v, count(*) AS n FROM pairs GROUP BY v),
 counted AS MATERIALIZED (SELECT v, w, count(*) AS n FROM pairs GROUP BY v, w),
 scores AS MATERIALIZED (
-  SELECT counted.v, counted.w, counted.n >= 1 AS pair,
-         CASE WHEN counted.n >= 1 THEN ln(counted.n / contexts.n::DOUBLE) ELSE ln(0.4::DOUBLE * words.n / (SELECT sum(n) FROM words)::DOUBLE) END AS s
+  SELECT counted.v, counted.w, counted.n >= 2 AS pair,
+         CASE WHEN counted.n >= 2 THEN ln(counted.n / contexts.n::DOUBLE) ELSE ln(0.4::DOUBLE * words.n / (SELECT sum(n) FROM words)::DOUBLE) END AS s
   FROM counted JOIN contexts USING (v) JOIN words USING (w)),
 summed AS (SELECT r, avg(s) AS score, count(*) FILTER (WHERE pair) AS n_pairs FROM pairs JOIN scores USING (v, w) GROUP BY r)
 SELECT doc_id, CAST(coalesce(len(ws), 0) AS BIGINT) AS n_words, coalesce(n_pairs, 0) AS n_pairs, round(score, 6) AS score

@@ -2,8 +2,9 @@
 
 * pre-tokenization (E1) and word counting (E2) are JVM expressions plus one
   map-side-combined aggregate;
-* merge learning (E6) keeps an index from pairs to the distinct words that hold
-  them: a round reads and rewrites only the words that its merges change;
+* merge learning (E6) keeps the distinct words as arrays of ids, dealt over the tasks:
+  a round counts all pairs, cuts the words at pairs that can't be merged in it, and one
+  task merges the few distinct segments left, some hundred merges a round;
   the driver has the merge list and the counts of the first pairs;
 * encoding (E7) is narrow: documents are pre-tokenized in the JVM and an Arrow
   UDF applies the (vocabulary-bounded, broadcast) merge table word by word
@@ -15,19 +16,20 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from heapq import heapify, heappop, heappush, nsmallest
-from itertools import accumulate, islice
+from heapq import heapify, heappop, heappush
 
 import functools
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusmill.session import checkpoint_dir, scratch_path
+from corpusmill.session import scratch_path
 
 # --- fixed values: special tokens (ids 0, 1, 2 in this order) and the split pattern ---
 SPECIALS = ["<|endoftext|>", "<|pad|>", "<|unk|>"]
@@ -148,33 +150,24 @@ def pair_counts(syms: DataFrame) -> DataFrame:
     return _counted_pairs(syms).select("left", "right", "cnt")
 
 
-#: Pairs from which a round's merges are taken, and pairs whose counts the driver keeps.
+#: Pairs from which a round's merges are taken where segments are too many for one task.
 TOP_CANDIDATES = 512
+#: Pairs of a round: in the first one, at least and at most.  The driver keeps their counts.
+LOCAL_PAIRS = 8
 KEPT_PAIRS = 50_000
-#: Words (of up to ``INDEXED`` symbols) that one task may merge on its own, and pairs at least for that.
-LOCAL_WORDS = 50_000
-LOCAL_PAIRS = 32
+#: Distinct segments that one task merges on its own, and symbols of one on the average at most.
+LOCAL_WORDS = 100_000
 INDEXED = 64
-#: Rounds between two rewritings of the changed words' index.
-COMPACT = 24
-#: Words are indexed once no pair is in more of them than this share; before, every round counts anew.
+#: The words are written anew once merges have taken this share of their pairs, or after so many rounds.
 SPARSE = 1 / 24
-#: Merges after which the words of such rounds are rewritten, and those of one symbol dropped.
-CHECKPOINT_EVERY = 20
+COMPACT = 24
+#: Symbols that a task counts at once.
+_COUNTED = 2_000_000
 #: Words whose ids an encoding task keeps, and their length at most.
 CACHED_WORDS = 200_000
 CACHED_LENGTH = 64
 
 
-def _candidates(syms: DataFrame, k: int) -> tuple[list, int, int]:
-    """One job: the ``k`` best pairs ``(cnt, left, right)`` in merge order, the count that bounds
-    every pair outside the list (0 if the list is all), and the most words that hold one pair."""
-    rows = _counted_pairs(syms).orderBy(F.desc("cnt"), F.asc("left"), F.asc("right")).limit(k).collect()
-    best = [(r["cnt"], r["left"], r["right"]) for r in rows]
-    floor = best[-1][0] if len(best) == k else 0
-    return best, floor, max((r["held"] for r in rows), default=0)
-
-
 def _batch_merges(model: BpeModel, index: dict, batch: list) -> list:
     """Adds the symbols of a round's merges to the model; returns the merges."""
     merges = []
@@ -218,46 +211,138 @@ def _exact_batch(best: list, floor: int, min_frequency: int, room: int) -> list:
     return accepted
 
 
-# The index: for each word and each pair in it a row (pair, word, version, count of the word, occurrences,
-# symbols), sorted by pair.  When a merge changes a word, a new version of all of its rows is appended, and for a
-# pair that it holds no more a row without symbols.  Words of more symbols than ``INDEXED`` have one row without a
-# pair instead, which every round reads.  ``dn`` and ``dw`` are what the row adds to its pair's occurrences and words.
-_ENTRY, _CHANGE, _MERGE = 0, 1, 2
-_INDEX = "kind int, pair long, wid long, ver int, n long, occ int, ids array<int>, dn long, dw int"
-_INDEX_NAMES = [f.split()[0] for f in _INDEX.split(", ")]
+_WORDS = "ids array<int>, n long"
 
 
-def _pairs(ids: list) -> dict:
-    out: dict = {}
-    for a, b in zip(ids, ids[1:]):
-        p = a << 32 | b
-        out[p] = out.get(p, 0) + 1
+def _id_words(byte_to_id: list):
+    """Words ``(word, n)`` as ids of their bytes, those of two and more."""
+    ids_of = np.array([-1 if v is None else v for v in byte_to_id], dtype=np.int32)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            b = pa.RecordBatch.from_arrays([b.column("word").cast(pa.large_binary()), b.column("n")], names=["word", "n"])
+            b = b.filter(pc.greater(pc.binary_length(b.column("word")), 1))
+            start = np.concatenate(([0], np.cumsum(pc.binary_length(b.column("word")).to_numpy(zero_copy_only=False)))).astype(np.int32)
+            raw = np.frombuffer(b"".join(b.column("word").to_pylist()), dtype=np.uint8)
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(start), pa.array(ids_of[raw])), b.column("n")], names=["ids", "n"])
+
+    return run
+
+
+def _laid_out(b: pa.RecordBatch) -> np.ndarray:
+    """The ids of a batch of words one after another, with a -1 after each word."""
+    col = b.column("ids")
+    ids, size = col.flatten().to_numpy(zero_copy_only=False), np.diff(col.offsets.to_numpy())
+    out = np.full(len(ids) + len(size), -1, dtype=np.int32)
+    out[np.arange(len(ids)) + np.repeat(np.arange(len(size)), size)] = ids
     return out
 
 
-def _rows_of(wid: int, ver: int, n: int, old: list | None, new: list, indexed: int) -> list:
-    """Index rows of a word that changes from ``old`` (None: it is new) to ``new``."""
-    before, after = _pairs(old) if old else {}, _pairs(new)
-    was_long = old is not None and len(old) > indexed
-    change = lambda p: (_CHANGE, p, wid, ver, n, 0, None, n * (after.get(p, 0) - before.get(p, 0)), 0)
-    if len(new) > indexed:
-        return [(_ENTRY, None, wid, ver, n, 0, new, 0, 0), *map(change, before.keys() | after.keys())]
-    rows = [(_ENTRY, p, wid, ver, n, occ, new, n * (occ - before.get(p, 0)), int(was_long or p not in before)) for p, occ in after.items()]
-    gone = before.keys() - after.keys()
-    if was_long:  # its row without a pair ends, and pairs that it has lost had no row
-        return [*rows, (_ENTRY, None, wid, ver, n, 0, None, 0, 0), *map(change, gone)]
-    return rows + [(_ENTRY, p, wid, ver, n, 0, None, -n * before[p], -1) for p in gone]
+def _merge_all(v: np.ndarray, merges: list) -> np.ndarray:
+    """Merge after merge over laid out words; from left to right where occurrences overlap."""
+    for a, b, m in merges:
+        at = np.flatnonzero((v[:-1] == a) & (v[1:] == b))
+        if not len(at):
+            continue
+        if a == b:
+            first = np.concatenate(([True], at[1:] != at[:-1] + 1))
+            run = np.flatnonzero(first)[np.cumsum(first) - 1]
+            at = at[(np.arange(len(at)) - run) % 2 == 0]
+        v[at] = m
+        stays = np.ones(len(v), dtype=bool)
+        stays[at + 1] = False
+        v = v[stays]
+    return v
+
+
+def _pairs_of(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pair that starts at each place but the last, as one number, and whether both of it are in one word."""
+    return v[:-1].astype(np.int64) << 32 | v[1:], (v[:-1] >= 0) & (v[1:] >= 0)
 
 
-def _index_batches(rows: Iterator, size: int = 20_000) -> Iterator[pa.RecordBatch]:
-    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.int64(), pa.int32()]
-    while part := list(islice(rows, size)):
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*part), kinds)], names=_INDEX_NAMES)
+def _merged_words(merges: list):
+    """Words after the merges, those of two symbols and more."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            v = _merge_all(_laid_out(b), merges)
+            ends = np.flatnonzero(v < 0)
+            size = np.diff(np.concatenate(([-1], ends))) - 1
+            live = size > 1
+            ids = v[np.repeat(live, size + 1) & (v >= 0)]
+            start = np.concatenate(([0], np.cumsum(size[live]))).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(start), pa.array(ids)), b.column("n").filter(pa.array(live))], names=["ids", "n"])
+
+    return run
+
+
+def _pair_sums(merges: list):
+    """``(pair, cnt, held)`` of the words after the merges: occurrences in the corpus and in the distinct words, of a part of the words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+
+        def sums() -> pa.RecordBatch:
+            pair, n, times = (np.concatenate([h[k] for h in held]) for k in range(3))
+            held.clear()
+            order = np.argsort(pair, kind="stable")
+            pair = pair[order]
+            new = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))
+            held.append((pair[new], np.add.reduceat(n[order], new), np.add.reduceat(times[order], new)))
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in held[0]], names=["pair", "cnt", "held"])
+
+        for b in batches:
+            v = _merge_all(_laid_out(b), merges)
+            pair, whole = _pairs_of(v)
+            word = (np.cumsum(v < 0) - (v < 0))[:-1][whole]
+            if len(word):
+                held.append((pair[whole], b.column("n").to_numpy()[word], np.ones(len(word), dtype=np.int64)))
+            if sum(len(h[0]) for h in held) > _COUNTED:
+                done = sums()
+                if done.num_rows > _COUNTED // 2:  # many different pairs: passed on, not held
+                    held.clear()
+                    yield done
+        if held:
+            yield sums()
+
+    return run
 
 
-def _words_in(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    for b in batches:
-        yield from zip(*(b.column(c).to_pylist() for c in ("wid", "n", "ids")))
+def _segments(merges: list, kept: list):
+    """``(ids, n)``: runs of the words after the merges in which all pairs are among ``kept``, as bytes, of a part of the words."""
+    known = np.sort(np.array(kept, dtype=np.int64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count: dict = {}
+
+        def rows() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(list(count), pa.binary()), pa.array(list(count.values()), pa.int64())], names=["ids", "n"])
+            count.clear()
+            return out
+
+        for b in batches:
+            v = _merge_all(_laid_out(b), merges)
+            pair, whole = _pairs_of(v)
+            whole &= known[np.minimum(np.searchsorted(known, pair), len(known) - 1)] == pair
+            edge = np.diff(np.concatenate(([0], whole.astype(np.int8), [0])))
+            first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+            n = b.column("n").to_numpy()[(np.cumsum(v < 0) - (v < 0))[first]]
+            raw = v.tobytes()
+            for i, j, k in zip((first * 4).tolist(), (last * 4 + 4).tolist(), n.tolist()):
+                seg = raw[i:j]
+                count[seg] = count.get(seg, 0) + k
+            if len(count) > 2 * LOCAL_WORDS:
+                yield rows()
+        if count:
+            yield rows()
+
+    return run
+
+
+def _pairs(ids: list) -> dict:
+    out: dict = {}
+    for a, b in zip(ids, ids[1:]):
+        p = a << 32 | b
+        out[p] = out.get(p, 0) + 1
+    return out
 
 
 def _merge_pair(ids: list, a: int, b: int, new: int) -> list:
@@ -272,46 +357,33 @@ def _merge_pair(ids: list, a: int, b: int, new: int) -> list:
     return out
 
 
-def _applied(merges: list, ver: int, indexed: int):
-    """A round of given merges over the words that hold them."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows():
-            for wid, n, ids in _words_in(batches):
-                new = ids
-                for a, b, m in merges:
-                    new = _merge_pair(new, a, b, m)
-                if len(new) != len(ids):
-                    yield from _rows_of(wid, ver, n, ids, new, indexed)
-
-        yield from _index_batches(rows())
-
-    return run
-
-
-def _learned(best: list, after: tuple, tokens: list, room: int, least: int, ver: int, indexed: int):
-    """A round in which one task takes merge after merge over all words that hold the pairs of ``best``.
+def _learned(best: list, after: tuple, tokens: list, room: int, least: int):
+    """A round in which one task takes merge after merge over all segments of the pairs of ``best``.
 
-    ``best`` has the first pairs in merge order with their counts, ``after`` is the
-    order of the next.  Pairs outside never gain, and a pair with a new symbol occurs in
-    these words only: so the task's choice is right until it comes after ``after``.
+    ``best`` has the first pairs in merge order with their counts, ``after`` is the order
+    of the next.  A symbol made in the round has one pair of symbols at its start and end,
+    so a pair with it occurs only where one pair occurred when the round began, at most as
+    often, and comes no earlier in merge order.  Where that pair is not in ``best`` the
+    words are cut, and what could be merged there comes after ``after``; where it is, all
+    occurrences are in the segments.  So the task's choice is right until it comes after
+    ``after``, or makes a symbol that is there already.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = list(_words_in(batches))
-        now = [w[2] for w in words]
+        now, weight = [], []
+        for b in batches:
+            now += [np.frombuffer(x, dtype=np.int32).tolist() for x in b.column("ids").to_pylist()]
+            weight += b.column("n").to_pylist()
         count = {a << 32 | b: c for c, a, b in best}
-        first_new, index = len(tokens), {t: i for i, t in enumerate(tokens)}
-        known = list(tokens)
+        known, index = list(tokens), {t: i for i, t in enumerate(tokens)}
         where: dict = {}
         for k, ids in enumerate(now):
             for p in _pairs(ids):
-                if p in count:
-                    where.setdefault(p, set()).add(k)
+                where.setdefault(p, set()).add(k)
         heap = [(-c, p) for p, c in count.items()]
         heapify(heap)
-        merges, changed = [], set()
-        while heap and len(known) - first_new < room:
+        merges: list = []
+        while heap and len(known) - len(tokens) < room:
             minus, p = heappop(heap)
             if -minus != count[p]:  # it has lost occurrences since
                 if count[p] > 0:
@@ -326,83 +398,30 @@ def _learned(best: list, after: tuple, tokens: list, room: int, least: int, ver:
                 index[token] = len(known)
                 known.append(token)
             merges.append((a, b, index[token]))
+            if not fresh:
+                break  # an old symbol gains occurrences: pairs outside may gain too
             touched = set()
-            for k in where.get(p, ()):
+            for k in where.pop(p, ()):
                 old, new = now[k], _merge_pair(now[k], *merges[-1])
                 if len(old) == len(new):
                     continue
                 now[k] = new
-                changed.add(k)
-                before, later, n = _pairs(old), _pairs(new), words[k][1]
+                before, later, n = _pairs(old), _pairs(new), weight[k]
                 for q in before.keys() | later.keys():
-                    if q not in count and (q >> 32 >= first_new or q & 0xFFFFFFFF >= first_new):
-                        count[q] = 0
-                    if q in count and (gain := later.get(q, 0) - before.get(q, 0)):
-                        count[q] += n * gain
+                    if gain := later.get(q, 0) - before.get(q, 0):
+                        count[q] = count.get(q, 0) + n * gain
                         if gain > 0:
                             touched.add(q)
-                    if q in count and q in later:
-                        where.setdefault(q, set()).add(k)
+                            where.setdefault(q, set()).add(k)
             for q in touched:
                 heappush(heap, (-count[q], q))
-            if not fresh:
-                break  # an old symbol gains occurrences: pairs outside may gain too
-
-        def rows():
-            for r, m in enumerate(merges):
-                yield (_MERGE, None, None, ver, 0, r, list(m), 0, 0)
-            for k in sorted(changed):
-                yield from _rows_of(words[k][0], ver, words[k][1], words[k][2], now[k], indexed)
-
-        yield from _index_batches(rows())
+        if merges:
+            rank = pa.array(range(len(merges)), pa.int32())
+            yield pa.RecordBatch.from_arrays([rank, *(pa.array(c, pa.int32()) for c in zip(*merges))], names=["rank", "l", "r", "m"])
 
     return run
 
 
-class _PairTable:
-    """Occurrences and words of the most frequent pairs, kept by the driver (``KEPT_PAIRS`` to twice that).
-
-    ``after`` is the merge order of the first pair outside: what is outside never
-    gains, so the first pair in here is the first of all while it comes before that.
-    """
-
-    def __init__(self, index: DataFrame):
-        entry = (F.col("kind") == _ENTRY) & F.col("pair").isNotNull()
-        # the latest row of a word and pair tells what it holds; long words are counted by their symbols
-        last = index.where(entry).groupBy("pair", "wid").agg(F.max_by(F.struct("n", "occ"), "ver").alias("x"))
-        short = last.where("x.occ > 0").groupBy("pair").agg(F.sum(F.col("x.n") * F.col("x.occ")).alias("cnt"), F.count("*").alias("words"))
-        long = index.where((F.col("kind") == _ENTRY) & F.col("pair").isNull()).groupBy("wid").agg(F.max_by(F.struct("n", "ids"), "ver").alias("x")).select("x.*")
-        zipped = F.zip_with(F.slice("ids", 1, F.size("ids") - 1), F.slice("ids", 2, F.size("ids") - 1),
-                            lambda a, b: F.shiftleft(a.cast("long"), 32).bitwiseOR(b.cast("long")))
-        long = long.where(F.size("ids") > 1).select("n", F.explode(zipped).alias("pair")).groupBy("pair").agg(F.sum("n").alias("cnt")).withColumn("words", F.lit(0))
-        both = short.unionByName(long).groupBy("pair").agg(F.sum("cnt").alias("cnt"), F.sum("words").alias("words"))
-        rows = both.orderBy(F.desc("cnt"), "pair").limit(KEPT_PAIRS + 1).collect()
-        self.after = (-rows[-1]["cnt"], rows[-1]["pair"] >> 32, rows[-1]["pair"] & 0xFFFFFFFF) if len(rows) > KEPT_PAIRS else (0, 0, 0)
-        self.pairs = {r["pair"]: (r["cnt"], r["words"]) for r in rows[:KEPT_PAIRS]}
-
-    def first(self, k: int) -> list:
-        """The first ``k`` pairs in merge order: ``(count, left, right, words)``."""
-        some = nsmallest(k, ((-c, p) for p, (c, _) in self.pairs.items() if c > 0))
-        return [(-m, p >> 32, p & 0xFFFFFFFF, self.pairs[p][1]) for m, p in some if (m, p >> 32, p & 0xFFFFFFFF) < self.after]
-
-    def update(self, changes: list, first_new: int) -> bool:
-        """Takes in a round's changes; False if the table must be counted again."""
-        for pair, dn, dw in changes:
-            if pair in self.pairs:
-                c, w = self.pairs[pair]
-                self.pairs[pair] = (c + dn, w + dw)
-            elif dn > 0 and pair >> 32 < first_new and pair & 0xFFFFFFFF < first_new:
-                return False  # a pair outside has gained
-            elif dn > 0 and (-dn, pair >> 32, pair & 0xFFFFFFFF) < self.after:
-                self.pairs[pair] = (dn, dw)
-        if len(self.pairs) > 2 * KEPT_PAIRS:
-            order = sorted((-c, p) for p, (c, _) in self.pairs.items())
-            m, p = order[KEPT_PAIRS]
-            self.after = min(self.after, (m, p >> 32, p & 0xFFFFFFFF))
-            self.pairs = {p: self.pairs[p] for _, p in order[:KEPT_PAIRS]}
-        return True
-
-
 def learn_bpe(df: DataFrame, text_col: str = "text", vocab_size: int = 32000, min_frequency: int = 2,
               candidates: int = TOP_CANDIDATES, local_words: int = LOCAL_WORDS, indexed: int = INDEXED,
               sparse: float = SPARSE) -> BpeModel:
@@ -410,16 +429,22 @@ def learn_bpe(df: DataFrame, text_col: str = "text", vocab_size: int = 32000, mi
     (ties: smallest left id, then right id) until the vocabulary reaches
     ``vocab_size`` or the best count drops below ``min_frequency``.
 
-    The first merges change most words: such rounds count all pairs and merge in all
-    words.  Once no pair is in more than ``sparse`` of the words they are indexed
-    (``_learn_indexed``), and a round reads and rewrites only words that hold its pairs.
-    Every round takes the longest run of merges that is certain to be that of one merge
-    at a time.  Lineage is cut by tables and ``checkpoint()`` in the session's
-    checkpoint folder.
+    A round counts all pairs of the distinct words and takes the first ones.  Words are
+    cut wherever two symbols are none of these pairs; equal segments are added up, and one
+    task merges them one by one until a pair outside could come first (``_learned``).  The
+    next round's pairs are twice as many where segments were few, a quarter where they were
+    more than ``local_words``; where even the least number of pairs has too many, the round takes
+    the longest run of merges that the counts alone make certain (``_exact_batch``).  So a
+    round passes over the words two or three times, whatever its number of merges.  Words
+    are tables in the session's checkpoint folder, written anew once merges have taken
+    ``sparse`` of their pairs; until then each pass makes the merges since.
     """
-    checkpoint_dir(df.sparkSession)
-    words = word_counts(df, text_col).checkpoint()
-    alpha = byte_alphabet(words).collect()  # <= 256 rows
+    spark = df.sparkSession
+    root = scratch_path(spark, "bpe")
+    word_counts(df, text_col).write.parquet(f"{root}/counts")
+    words = spark.read.schema("word string, n long").parquet(f"{root}/counts")
+    chars = words.select(F.explode(F.split("word", "")).alias("word")).distinct()
+    alpha = byte_alphabet(chars).collect()  # <= 256 rows
     model = BpeModel(tokens=list(SPECIALS))
     byte_to_id = [None] * 256
     for r in sorted(alpha, key=lambda r: r["id"]):
@@ -427,121 +452,52 @@ def learn_bpe(df: DataFrame, text_col: str = "text", vocab_size: int = 32000, mi
         byte_to_id[r["byte"]] = r["id"]
     index = {t: i for i, t in enumerate(model.tokens)}
     least = max(1, min_frequency)
-    # spread the word table over all cores (a small aggregate may be coalesced to one partition)
-    parts = max(1, df.sparkSession.sparkContext.defaultParallelism * 2)
-    live = F.size(F.split(F.trim("sym"), " ")) > 1
-    syms = _symbol_strings(words, byte_to_id).where(live).repartition(parts, "sym").checkpoint()
-    most, since = syms.count() * sparse, 0
-    while model.vocab_size < vocab_size:
-        best, floor, held = _candidates(syms, candidates)
-        if best and best[0][0] >= least and held <= most:
-            ids = F.transform(F.split(F.trim("sym"), " "), lambda x: x.cast("int"))
-            _learn_indexed(syms.where(live).select("n", ids.alias("ids")), model, index, vocab_size, least, candidates, local_words, indexed)
-            break
-        batch = _exact_batch(best, floor, least, vocab_size - model.vocab_size)
-        if not batch:
-            break
-        merges = _batch_merges(model, index, batch)
-        sym = F.col("sym")
-        for a, b, new in merges:
-            sym = F.regexp_replace(sym, f"(?<= ){a} {b}(?= )", str(new))
-        since += len(merges)
-        # the merged words are materialised before the table they come from is
-        # released, so no round replays the merges of earlier ones
-        prev, syms = syms, syms.select(sym.alias("sym"), "n")
-        if since >= CHECKPOINT_EVERY:
-            syms = syms.where(live).repartition(parts, "sym").checkpoint()
-            since = 0
-        else:
-            syms = syms.cache()
-            syms.count()
-        prev.unpersist()
-    syms.unpersist()
-    return model
-
-
-def _learn_indexed(syms: DataFrame, model: BpeModel, index: dict, vocab_size: int, least: int, candidates: int, local_words: int, indexed: int) -> None:
-    """Goes on learning with words ``(n, ids)`` under an index from pairs to words.
-
-    The index is a table sorted by pair: a round reads the pages of its pairs, appends
-    the new versions of the words that change and each pair's change of count; other
-    words are not touched.  A round's merges are either those of ``_exact_batch``, or,
-    where the words of the first pairs are few (``local_words``), what one task finds
-    merging them one by one (``_learned``).  The driver keeps the counts of the first
-    pairs, and counts all pairs anew only when these have been used up.
-    """
-    spark = syms.sparkSession
-    parts = max(1, spark.sparkContext.defaultParallelism)
-    root = scratch_path(spark, "bpe")
-    read = lambda paths: spark.read.schema(_INDEX).parquet(*paths)
-
-    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _index_batches(r for wid, n, ids in _words_in(batches) for r in _rows_of(wid, 0, n, None, ids, indexed))
-
-    syms.withColumn("wid", F.monotonically_increasing_id()).write.parquet(f"{root}/words")
-    numbered = spark.read.schema("n long, ids array<int>, wid long").parquet(f"{root}/words")
-    (numbered.mapInArrow(entries, _INDEX).repartitionByRange(parts, "pair", "wid").sortWithinPartitions("pair")
-     .write.parquet(f"{root}/base"))
-    base, later = f"{root}/base", []
-    pairs = _PairTable(read([base]))
-    # symbols in words that every round reads: too many for one task rule its rounds out
-    long = numbered.where(F.size("ids") > indexed).agg(F.coalesce(F.sum(F.size("ids")), F.lit(0))).first()[0]
-    ver = 0
+    parts = max(1, spark.sparkContext.defaultParallelism * 2)  # a small table of words may be one split
+    words.mapInArrow(_id_words(byte_to_id), _WORDS).repartition(parts).write.parquet(f"{root}/words")
+    now, since, before, rounds, k, tries = spark.read.schema(_WORDS).parquet(f"{root}/words"), [], 0, 0, LOCAL_PAIRS, 0
     while (room := vocab_size - model.vocab_size) > 0:
-        best = pairs.first(candidates)
-        if not best:
-            if pairs.after == (0, 0, 0):
-                break
-            pairs = _PairTable(read([base, *later]))
-            if not pairs.first(1):
-                break
-            continue
-        if best[0][0] < least:
+        counts = now.mapInArrow(_pair_sums(since), "pair long, cnt long, held long").groupBy("pair").agg(F.sum("cnt").alias("cnt"), F.sum("held").alias("held")).persist()
+        most = max(k, candidates)
+        rows = counts.orderBy(F.desc("cnt"), "pair").limit(most + 1).collect()
+        held = counts.agg(F.sum("held")).first()[0] or 0
+        counts.unpersist()
+        first = [(r["cnt"], r["pair"] >> 32, r["pair"] & 0xFFFFFFFF) for r in rows]
+        if not first or first[0][0] < least:
             break
-        ver += 1
-        held = list(accumulate(x[3] for x in best))
-        few = min(sum(h <= local_words for h in held), len(best) - 1) if long <= indexed * local_words else 0
-        local, first_new = few >= LOCAL_PAIRS, model.vocab_size
-        if local:
-            nxt, chosen = best[few], [x[:3] for x in best[:few]]
-            run = _learned(chosen, (-nxt[0], nxt[1], nxt[2]), model.tokens, room, least, ver, indexed)
-        else:
-            floor = best[-1][0] if len(best) == candidates else -pairs.after[0]
-            chosen = _exact_batch([x[:3] for x in best], floor, least, room)
-            merges = _batch_merges(model, index, chosen)
-            run = _applied(merges, ver, indexed)
-        hit = F.col("pair").isNull()
-        wanted = [a << 32 | b for _, a, b in chosen]
-        if len(wanted) <= LOCAL_PAIRS:  # one condition each, so that pages are left out by their statistics
-            for p in wanted:
-                hit = hit | (F.col("pair") == p)
-        else:
-            hit = hit | F.col("pair").isin(wanted)
-        found = (read([base, *later]).where(hit & (F.col("kind") == _ENTRY)).groupBy("wid")
-                 .agg(F.max(F.struct("ver", F.col("ids").isNotNull().alias("held"), "ids", "n")).alias("x"))
-                 .where("x.held").select("wid", "x.n", "x.ids"))
-        path = f"{root}/round-{ver}"
-        (found.coalesce(1) if local else found).mapInArrow(run, _INDEX).sortWithinPartitions("pair").write.parquet(path)
-        made = read([path])
-        if local:
-            for r in made.where(F.col("kind") == _MERGE).orderBy("occ").select("ids").collect():
-                a, b, new = r["ids"]
-                if new == model.vocab_size:
+        if rounds == 0:
+            before = held
+        elif held < before * (1 - sparse) or len(since) and rounds % COMPACT == 0:
+            now.mapInArrow(_merged_words(since), _WORDS).write.parquet(f"{root}/words-{rounds}")
+            now, since, before = spark.read.schema(_WORDS).parquet(f"{root}/words-{rounds}"), [], held
+        rounds += 1
+        merges: list = []
+        k = max(k, LOCAL_PAIRS)
+        while not merges and local_words and k >= LOCAL_PAIRS:
+            best = first[:k]
+            after = (-first[k][0], *first[k][1:]) if len(first) > k else (0, 0, 0)
+            tries += 1
+            (now.mapInArrow(_segments(since, [a << 32 | b for _, a, b in best]), "ids binary, n long")
+             .groupBy("ids").agg(F.sum("n").alias("n")).write.parquet(f"{root}/segments-{tries}"))
+            segments = spark.read.schema("ids binary, n long").parquet(f"{root}/segments-{tries}")
+            n, size = segments.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("ids")), F.lit(0))).first()
+            if n > local_words or size > 4 * indexed * local_words:
+                k //= 4
+                continue
+            found = segments.coalesce(1).mapInArrow(_learned(best, after, model.tokens, room, least), "rank int, l int, r int, m int").collect()
+            merges = [(r["l"], r["r"], r["m"]) for r in sorted(found, key=lambda r: r["rank"])]
+            if 3 * n < local_words:
+                k = min(2 * k, KEPT_PAIRS)
+        if merges:
+            for a, b, m in merges:
+                if m == model.vocab_size:
                     model.tokens.append(model.tokens[a] + model.tokens[b])
-                    index[model.tokens[new]] = new
-                model.merges.append((a, b, new))
-        changes = (made.where("pair is not null").groupBy("pair").agg(F.sum("dn").alias("dn"), F.sum("dw").alias("dw"))
-                   .where("dn <> 0 or dw <> 0").collect())  # pairs of the symbols merged: bounded by the vocabulary
-        later.append(path)
-        known = pairs.update([(r["pair"], r["dn"], r["dw"]) for r in changes], first_new)
-        if len(later) >= COMPACT:
-            path = f"{root}/upto-{ver}"
-            latest = (read(later).where(F.col("kind") == _ENTRY).groupBy("kind", "pair", "wid").agg(F.max_by(F.struct("ver", "n", "occ", "ids"), "ver").alias("x"))
-                      .select("kind", "pair", "wid", "x.*", F.lit(0).cast("long").alias("dn"), F.lit(0).alias("dw")))
-            latest.repartitionByRange("pair", "wid").sortWithinPartitions("pair").write.parquet(path)
-            later = [path]
-        if not known:
-            pairs = _PairTable(read([base, *later]))
+                    index[model.tokens[m]] = m
+            model.merges += merges
+        else:
+            floor = first[candidates - 1][0] if len(first) >= candidates else 0
+            merges = _batch_merges(model, index, _exact_batch(first[:candidates], floor, least, room))
+        since = since + merges
+    return model
 
 
 # ---- encode / decode -------------------------------------------------------------------------------

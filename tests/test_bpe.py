@@ -150,3 +150,19 @@ def test_decoding_has_a_plan_of_constant_size(spark):
         return df._jdf.queryExecution().analyzed().expressions().head().treeString().count("\n")
 
     assert size(10) == size(32_000)
+
+
+def test_rounds_are_few_where_words_are_many(spark):
+    """Segments, not words, bound a round: as many jobs for ten times the words, and the library's merges."""
+    syl = ["ta", "re", "ion", "the", "an", "é", "qu", "st", "ing", "o"]
+
+    def learned(group, texts):
+        spark.sparkContext.setJobGroup(group, group)
+        m = bpe.learn_bpe(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3), vocab_size=120, min_frequency=2, local_words=400)
+        spark.sparkContext.setJobGroup("other", "other")
+        assert {m.token_text(i): i for i in range(m.vocab_size)} == _library(texts, 120, 2)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    few = learned("few", [" ".join(a + b + c for a in syl for b in syl) for c in syl[:2]])
+    many = learned("many", [" ".join(a + b + c + d for a in syl for b in syl for c in syl) for d in syl[:2]])
+    assert many <= few + 30 and many < 150, (few, many)

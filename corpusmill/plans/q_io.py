@@ -37,7 +37,7 @@ select line, count(*)::BIGINT as n from (select unnest(string_split(text, chr(10
 def scan_text_corpus(spark, sf):
     """The documents as text files, read back in byte ranges: every line."""
     path = scratch_path(spark, "lines")
-    table(spark, sf, "documents").where("text is not null").select("text").coalesce(2).write.text(path)
+    table(spark, sf, "documents").where("text is not null").select("text").write.text(path)
     pieces = io.scan_text(spark, path, piece_bytes=1 << 16)
     # each piece ends with its last line's end
     line = F.explode(F.expr("slice(split(text, '\\n'), 1, size(split(text, '\\n')) - 1)"))

@@ -66,13 +66,14 @@ def cleaning_stats(df: DataFrame, mode: str = "balanced", text_col: str = "text"
     one aggregate give every number, so the cleaning runs once per row.
     """
     by = list(by or [])
-    before = F.col(text_col)
-    after = cl.clean(before, mode)
+    before, after = F.col("_before"), F.col("_after")
+    # a column of its own: array functions would each clean the text again
+    both = df.select(*by, F.col(text_col).alias("_before"), cl.clean(F.col(text_col), mode).alias("_after"))
 
     def tagged(c, side):
         return F.transform(F.array_distinct(char_array(c)), lambda ch: F.struct(F.lit(side).alias("s"), ch.alias("c")))
 
-    rows = df.select(*by, F.length(before).alias("_lb"), F.length(after).alias("_la"),
+    rows = both.select(*by, F.length(before).alias("_lb"), F.length(after).alias("_la"),
                      F.concat(tagged(before, 0), tagged(after, 1)).alias("_t"))
     flat = rows.select(*by, "_lb", "_la", F.posexplode_outer("_t").alias("_pos", "_e"))
     first = F.coalesce(F.col("_pos"), F.lit(0)) == 0

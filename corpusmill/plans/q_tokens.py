@@ -127,7 +127,7 @@ def sample_windows_layout(spark, sf):
     """The same windows from a kept block layout of the whole stream."""
     t = tokens_with_offsets(spark, sf)
     path = scratch_path(spark, "blocks")
-    ds.write_blocks(ds.token_blocks(t, WIN_LEN + 1), path)
+    ds.write_blocks(ds.token_blocks(t, WIN_LEN + 1, ranged=True), path, ranged=True)
     starts = _starts(spark, t)
     return _windows(ds.read_blocks(spark, path, starts, WIN_LEN + 1), starts)
 

@@ -14,6 +14,8 @@ about 8 bytes for each pair and 32 for each sum.
 
 Scale: both tables and all n-grams are dealt out by hash into buckets, several to a shuffle
 partition.  Spark sorts a partition by bucket and a task holds one bucket at a time.
+Pairs meet their counts in ``_ROUNDS`` rounds, each a scan of the texts for the pairs of
+its own buckets, so that the largest exchange is on disk a part at a time.
 Words that make up more than ``1 / HOT_PARTS`` of the corpus (at most ``HOT_PARTS``
 of them, so their counts are broadcast) are no partition keys: their pairs are dealt
 out by pair, and backing off to them needs no shuffle.  Pairs that make up as much (so
@@ -34,6 +36,7 @@ Extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +57,8 @@ _PACK = 300_000
 _SUMS = 1_000_000
 #: Buckets of a shuffle partition; a task holds one of them at a time.
 _SPLIT = 2
+#: Rounds in which pairs meet their counts, each over its share of the buckets: only one round's shuffle is on disk at once.
+_ROUNDS = 2
 _WORD = np.uint64((1 << 48) - 1)
 #: The name of the start of a text.
 START = np.uint64(0)
@@ -235,24 +240,20 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_pai
         sums, terms = np.bincount(doc, weights=logs, minlength=len(keys)), np.bincount(doc, minlength=len(keys))
         return both, [_sums_batch(keys, sums, terms, np.bincount(doc[good], minlength=len(keys)), int(keys[0]) % buckets)]
 
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def explode(batches: Iterator[pa.RecordBatch], turn: int) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             keys, same = np.unique(np.concatenate([h[3] for h in held]), return_inverse=True)
             at = np.concatenate(([0], np.cumsum([len(h[3]) for h in held])))
-            context, word = (np.concatenate([h[k] for h in held]) for k in (0, 1))
+            context, word, bucket = (np.concatenate([h[k] for h in held]) for k in (0, 1, 4))
             doc = same[np.concatenate([h[2] + a for h, a in zip(held, at, strict=False)])]
             held.clear()
             ready, sums = scored(context, word, doc, keys)
             yield from sums
             if ready.all():
                 return
-            context, word, doc = context[~ready], word[~ready], doc[~ready]
-            common, _ = is_hot(context)
-            deal = np.where(common, ta.mix(context ^ ta.mix(word)), ta.mix(context))
-            bucket = ((deal >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-            rows = list(_packed(bucket, context, word, doc, keys))
+            rows = list(_packed(bucket[~ready], context[~ready], word[~ready], doc[~ready], keys))
             none = pa.nulls(len(rows), pa.binary())
             yield _packed_batch(rows, {"sums": none, "terms": none, "whole": none})
 
@@ -260,9 +261,13 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_pai
             keys = b.column("key").to_numpy()
             for c in ta.chunks(b.column("text"), ta.NON_SPACE, True):
                 context, word, row = _pairs(c)
-                if len(word):
-                    held.append((context, word, row, keys[c.row0:c.row0 + c.rows]))
-                    size += len(word)
+                common, _ = is_hot(context)
+                deal = np.where(common, ta.mix(context ^ ta.mix(word)), ta.mix(context))
+                bucket = ((deal >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.uint16)
+                own = bucket % _ROUNDS == turn
+                if own.any():
+                    held.append((context[own], word[own], row[own], keys[c.row0:c.row0 + c.rows], bucket[own]))
+                    size += len(held[-1][0])
                 if size >= _PACK:
                     yield from flush()
                     size = 0
@@ -322,8 +327,12 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_pai
             yield _sums_batch(keys, sums, terms, np.zeros(len(keys)))
 
     extra = ", sums binary, terms binary, whole binary"
-    exploded = keyed.select("key", "text").mapInArrow(lean(explode), _PACKED + extra)
-    first = stored(exploded.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lean(pairs), _PACKED + extra), "pair-scores")
+
+    def met_pairs(turn: int) -> DataFrame:
+        exploded = keyed.select("key", "text").mapInArrow(lean(partial(explode, turn=turn)), _PACKED + extra)
+        return stored(exploded.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lean(pairs), _PACKED + extra), "pair-scores")
+
+    first = reduce(DataFrame.unionByName, [met_pairs(turn) for turn in range(_ROUNDS)])
 
     def to_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -45,13 +45,26 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: Whether Spark removes a query's shuffle files when it ends, not when the driver happens to collect its garbage.
+_REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: its lineage
-    ends there, and a lost executor costs nothing that was computed."""
+    ends there, and a lost executor costs nothing that was computed.  The shuffle
+    files of the write, which nothing reads again, are removed when it ends."""
     spark = df.sparkSession
     path = scratch(spark, name)
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    writer.parquet(path)
+    before = spark.conf.get(_REMOVE_SHUFFLES, None)
+    spark.conf.set(_REMOVE_SHUFFLES, "true")
+    try:
+        writer.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_REMOVE_SHUFFLES)
+        else:
+            spark.conf.set(_REMOVE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -44,7 +44,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 from hashlib import blake2b
 
 import numpy as np
@@ -184,36 +184,57 @@ def _regrouped(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Arra
         yield pa.concat_arrays(held)
 
 
-def _shared_signatures(docs: DataFrame, rule: Rule, hot: int) -> DataFrame:
-    """``(sig, node, tag)`` for every signature that two or more sets have."""
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for text in _regrouped(batches, SIGNED):
-            sigs, nodes, tags = [], [], []
-            for _, s in shingle_sets(text, rule.n):
-                if len(s) < 2 or (key := _key(digest(s))) in seen:
-                    continue
-                seen.add(key)
-                for x, tag in signatures(s, rule):
-                    sigs.append(x)
-                    nodes.append(np.full(len(x), key, dtype=np.int64))
-                    tags.append(np.full(len(x), tag, dtype=np.int32))
-            if not sigs:
+def _signed(batches: Iterator[pa.RecordBatch], rule: Rule, hot: int) -> Iterator[pa.RecordBatch]:
+    """``(sig, node, tag)`` of every set of a task; of what ``SIGNED`` texts need, little more than the signatures is held."""
+    seen: set[int] = set()
+    for text in _regrouped(batches, SIGNED):
+        sigs, keys, tags, sizes = [], [], [], []
+        for _, s in shingle_sets(text, rule.n):
+            if len(s) < 2 or (key := _key(digest(s))) in seen:
                 continue
-            sig, node, tag = np.concatenate(sigs).view(np.int64), np.concatenate(nodes), np.concatenate(tags)
-            order = np.argsort(sig, kind="stable")
-            sig, node, tag = sig[order], node[order], tag[order]
-            first = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
-            count = np.diff(np.concatenate((first, [len(sig)])))
-            tag = np.where(np.repeat(count > hot, count), tag | _HOT, tag).astype(np.int32)
-            mark = first[count > hot]
-            sig, node = np.concatenate((sig, sig[mark])), np.concatenate((node, node[mark]))
-            tag = np.concatenate((tag, np.full(len(mark), _MARK, dtype=np.int32)))
-            for k in range(0, len(sig), 200_000):
-                at = slice(k, k + 200_000)
-                yield pa.RecordBatch.from_arrays([pa.array(sig[at]), pa.array(node[at]), pa.array(tag[at])],
-                                                 names=["sig", "node", "tag"])
+            seen.add(key)
+            for x, tag in signatures(s, rule):
+                sigs.append(x)
+                keys.append(key)
+                tags.append(tag)
+                sizes.append(len(x))
+        del text
+        if not sigs:
+            continue
+        sig, own = np.concatenate(sigs).view(np.int64), np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        del sigs
+        order = np.argsort(sig, kind="stable")
+        sig, own = sig[order], own[order]
+        del order
+        first = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
+        often = np.diff(np.concatenate((first, [len(sig)]))) > hot
+        mark = first[often]
+        last = np.concatenate((first[1:], [len(sig)]))[often]
+        del first, often
+        large = np.zeros(len(sig), dtype=bool)
+        for i, j in zip(mark.tolist(), last.tolist(), strict=True):
+            large[i:j] = True
+        node, kind = np.array(keys, dtype=np.int64), np.array(tags, dtype=np.int32)
+        for k in range(0, len(sig), 200_000):
+            at = own[k:k + 200_000]
+            tag = np.where(large[k:k + 200_000], kind[at] | _HOT, kind[at]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(sig[k:k + 200_000]), pa.array(node[at]), pa.array(tag)], names=["sig", "node", "tag"])
+        if len(mark):
+            yield pa.RecordBatch.from_arrays([pa.array(sig[mark]), pa.array(node[own[mark]]), pa.array(np.full(len(mark), _MARK, dtype=np.int32))],
+                                             names=["sig", "node", "tag"])
+        del sig, own, large  # else they stay while the next texts are signed
+
+
+def _in_batches(sig: np.ndarray, node: np.ndarray, tag: np.ndarray, keep: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The kept rows, 200,000 looked at at once."""
+    for k in range(0, len(sig), 200_000):
+        at, own = slice(k, k + 200_000), keep[k:k + 200_000]
+        yield pa.RecordBatch.from_arrays([pa.array(sig[at][own]), pa.array(node[at][own]), pa.array(tag[at][own].astype(np.int32))],
+                                         names=["sig", "node", "tag"])
 
+
+def _shared_signatures(docs: DataFrame, rule: Rule, hot: int) -> DataFrame:
+    """``(sig, node, tag)`` for every signature that two or more sets have."""
     def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [[b.column(k).to_numpy(zero_copy_only=False) for k in range(3)] for b in batches]
         if not parts:
@@ -221,27 +242,27 @@ def _shared_signatures(docs: DataFrame, rule: Rule, hot: int) -> DataFrame:
         sig, node, tag = (np.concatenate([p[k] for p in parts]) for k in range(3))
         parts.clear()
         dealt = (tag & _HOT) != 0  # part of a large group, whose other members may be elsewhere
-        rows = [(sig[dealt], node[dealt], tag[dealt] & ~_HOT)]
-        sig, node, tag = sig[~dealt], node[~dealt], tag[~dealt]
+        yield from _in_batches(sig[dealt], node[dealt], tag[dealt] & ~_HOT, np.ones(int(dealt.sum()), dtype=bool))
+        if dealt.any():
+            sig, node, tag = sig[~dealt], node[~dealt], tag[~dealt]
+        del dealt
+        if not len(sig):
+            return
         order = np.lexsort((node, sig))
         sig, node, tag = sig[order], node[order], tag[order]
+        del order
         mark = (tag & _MARK) != 0
-        if len(sig):
-            start = np.concatenate(([True], sig[1:] != sig[:-1]))
-            group = np.cumsum(start) - 1
-            again = np.concatenate(([False], ~start[1:] & (node[1:] == node[:-1]))) & ~mark
-            varied = np.zeros(group[-1] + 1, dtype=bool)
-            varied[group[1:][~start[1:] & (node[1:] != node[:-1])]] = True
-            varied[group[mark]] = True
-            keep = varied[group] & ~mark & ~again
-            rows.append((sig[keep], node[keep], tag[keep]))
-        for s, n, t in rows:
-            for k in range(0, len(s), 200_000):
-                at = slice(k, k + 200_000)
-                yield pa.RecordBatch.from_arrays([pa.array(s[at]), pa.array(n[at]), pa.array(t[at].astype(np.int32))],
-                                                 names=["sig", "node", "tag"])
-
-    signed = docs.select("text").mapInArrow(lean(sign), "sig long, node long, tag int")
+        start = np.concatenate(([True], sig[1:] != sig[:-1]))
+        group = np.cumsum(start, dtype=np.int32) - 1
+        again = np.concatenate(([False], ~start[1:] & (node[1:] == node[:-1]))) & ~mark
+        varied = np.zeros(group[-1] + 1, dtype=bool)
+        varied[group[1:][~start[1:] & (node[1:] != node[:-1])]] = True
+        varied[group[mark]] = True
+        keep = varied[group] & ~mark & ~again
+        del start, group, again, varied, mark
+        yield from _in_batches(sig, node, tag, keep)
+
+    signed = docs.select("text").mapInArrow(lean(partial(_signed, rule=rule, hot=hot)), "sig long, node long, tag int")
     salt = F.when(F.col("tag").bitwiseAND(F.lit(_HOT)) != 0, F.col("node")).otherwise(F.lit(0).cast("long"))
     parts = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a task holds its share in memory
     return stored(signed.repartition(parts, "sig", salt).mapInArrow(lean(share), "sig long, node long, tag int"), "setjoin-shared")
@@ -334,7 +355,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     fit = 100 * F.least("a_size", "b_size") >= rule.percent * F.greatest("a_size", "b_size")
     joined = sized.where(fit).select("a", "b").distinct().join(one("b"), "b").join(one("a"), "a")
     return joined.select("a", "b", "a_digest", "b_digest", "a_set", "b_set").mapInArrow(
-        run, "a long, b long, a_digest binary, b_digest binary, shared long, total long")
+        lean(run), "a long, b long, a_digest binary, b_digest binary, shared long, total long")
 
 
 def _common_tokens(sets: DataFrame) -> DataFrame:

@@ -112,3 +112,27 @@ def test_components_of_paths_stars_and_rings(spark):
     got = {r.id: r.label for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{k: 0 for k in range(41)}, **{k: 100 for k in range(100, 130)}, **{k: 200 for k in range(200, 203)}}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_signing_holds_little_more_than_the_signatures():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from corpusmill.llm import setjoin
+
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(50_000)}" for _ in range(200)) for _ in range(setjoin.SIGNED)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])]
+    rule = setjoin.Rule()
+    list(setjoin._signed(batches, rule, setjoin.HOT))  # what is kept for good, as the powers, is made
+    rows = sum(len(x) for _, s in setjoin.shingle_sets(batches[0].column("text"), rule.n) for x, _ in setjoin.signatures(s, rule))
+    tracemalloc.start()
+    got = 0
+    for b in setjoin._signed(batches, rule, setjoin.HOT):
+        got += b.num_rows
+        del b
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    print(most / rows)
+    assert got == rows and most < 60 * rows

@@ -27,12 +27,15 @@ tokens that a set shares with any other member of open groups, which bound its
 intersections, and by parity sketches, which bound the difference of a pair from
 below.  Every link is verified on the full sets.
 
-Scale: one shuffle of signatures (about 0.6 for each shingle).  A subset that more
-than ``HOT`` of ``SIGNED`` texts share is dealt out by text instead of meeting in
-one task, and later steps count with map-side sums and join with skew splitting.
-Copies are one node, known by a 128-bit digest of the set; a task signs it once.
-Sets are recomputed from the texts for candidate nodes only: their keys are
-broadcast if they are at most ``BROADCAST_KEYS``, else joined.
+Scale: one reading of the texts gives sizes, digests and signatures (about 0.6 for
+each shingle), and one shuffle deals these out, as a row for each part and some
+hundred thousand signatures.  A subset that more than ``HOT`` of ``SIGNED`` texts
+share is dealt out by text instead of meeting in one task; where it meets in one, its
+sets are counted there.  Later steps count with map-side sums and join with skew
+splitting.  Copies are one node, known by a 128-bit digest of the set; a task signs it
+once.  Sets are recomputed for candidate nodes only, from the texts that have them:
+keys and texts' hashes are broadcast if they are at most ``BROADCAST_KEYS``, else all
+texts are read and joined.
 
 Defined results: an empty table gives an empty one.  A null text and one without words have an empty set and link with
 nothing; shorter texts than ``n`` words have their whole word sequence as one
@@ -44,7 +47,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial, reduce
+from functools import lru_cache, reduce
 from hashlib import blake2b
 
 import numpy as np
@@ -60,7 +63,7 @@ from corpusmill.llm.graph import components
 SIGNED = 2000
 #: Of these, those that may share a signature before it is dealt out by text.
 HOT = 64
-#: Keys of candidate sets that are broadcast at most (32 MB).
+#: Keys of candidate sets that are broadcast at most (64 MB with their texts' hashes).
 BROADCAST_KEYS = 4_000_000
 #: A signature's tag: how many may be given up, how many must be shared, the scheme, and two marks.
 _SPARE, _NEED, _NEXT, _HOT, _MARK = (1 << 11) - 1, (1 << 13) - 1, 1 << 24, 1 << 30, 1 << 29
@@ -106,7 +109,10 @@ def shingle_sets(arr: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray]]:
         for r in np.flatnonzero(c.n_words).tolist():
             a, b = int(c.word_at[r]), int(c.word_at[r + 1])
             if b - a >= n:
-                yield c.row0 + r, np.unique(grams[a:b - n + 1])
+                s = np.sort(grams[a:b - n + 1])
+                fresh = np.ones(len(s), dtype=bool)
+                np.not_equal(s[1:], s[:-1], out=fresh[1:])
+                yield c.row0 + r, s[fresh]
             else:  # the whole sequence, told apart from shingles by its length
                 yield c.row0 + r, ta.window_hashes(words[a:b], b - a) + _u(b - a)
 
@@ -119,6 +125,14 @@ def _key(d: bytes) -> int:
     return int.from_bytes(d[:8], "little", signed=True)
 
 
+@lru_cache(maxsize=256)
+def _segments(rule: Rule, band: int) -> tuple[np.uint64, np.ndarray]:
+    """What deals a band's tokens out to segments, and a hash for each segment."""
+    salt = _u(band * 0x632BE59BD9B4E019 + 1 & (1 << 64) - 1)
+    places = ta.mix(np.arange(rule.segments(band), dtype=np.uint64) * _u(0xD1342543DE82EF95) + salt)
+    return ta.mix(np.array([salt]))[0] | _u(1), places
+
+
 def signatures(s: np.ndarray, rule: Rule) -> list[tuple[np.ndarray, int]]:
     """``(signatures, tag)`` of a set, by scheme."""
     size, out = len(s), []
@@ -129,16 +143,15 @@ def signatures(s: np.ndarray, rule: Rule) -> list[tuple[np.ndarray, int]]:
         bound = rule.differ(size, min(most, (2 << band) - 1))
         if bound == 0:
             continue  # linked sets of this size are equal, and equal sets are one node
-        m, salt = rule.segments(band), _u(band * 0x632BE59BD9B4E019 + 1 & (1 << 64) - 1)
-        seg = ((ta.mix(s ^ salt) >> _u(32)) * _u(m) >> _u(32)).astype(np.int64)
-        order = np.argsort(seg, kind="stable")
-        tokens, seg = ta.mix(s + salt)[order], seg[order]
-        first = np.flatnonzero(np.concatenate(([True], seg[1:] != seg[:-1])))
-        count = np.diff(np.concatenate((first, [size])))
-        sums = np.add.reduceat(tokens, first)
-        place = ta.mix(seg[first].astype(np.uint64) * _u(0xD1342543DE82EF95) + salt)
+        spread, places = _segments(rule, band)
+        m = len(places)
+        seg = ((s * spread >> _u(32)) * _u(m) >> _u(32)).view(np.int64)  # tokens are hashes already
+        counts, total = np.bincount(seg, minlength=m), np.zeros(m, dtype=np.uint64)
+        np.add.at(total, seg, s)
+        used = np.flatnonzero(counts)
+        sums, place = total[used], places[used]
         exact = ta.mix(sums ^ place)
-        spare = len(first) - bound - 1
+        spare = len(used) - bound - 1
         if spare >= 0:
             spare = min(spare, rule.allowance(band), _SPARE)
             if band > own:
@@ -147,6 +160,7 @@ def signatures(s: np.ndarray, rule: Rule) -> list[tuple[np.ndarray, int]]:
             need = min(len(exact) - bound, rule.allowance(band) + 1, _NEED)
             out.append((exact, spare | need << 11 | (_NEXT if band > own else 0)))
             continue
+        count, tokens = counts[used], s[np.argsort(seg, kind="stable")]
         near = ta.mix(sums + place)  # one-deletion neighbourhoods
         wide = np.repeat(count > 1, count)
         less = ta.mix((np.repeat(sums, count) - tokens)[wide] + np.repeat(place, count)[wide])
@@ -157,149 +171,222 @@ def signatures(s: np.ndarray, rule: Rule) -> list[tuple[np.ndarray, int]]:
     return out
 
 
-def _membership(docs: DataFrame, rule: Rule) -> DataFrame:
-    """``(id, size, digest)`` of every document; the digest of an empty set is null."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            size, name = [0] * b.num_rows, [None] * b.num_rows
-            for row, s in shingle_sets(b.column("text"), rule.n):
-                size[row], name[row] = len(s), digest(s)
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(size, pa.int64()), pa.array(name, pa.binary())],
-                                             names=["id", "size", "digest"])
-
-    kind = docs.schema["id"].dataType.simpleString()
-    return stored(docs.mapInArrow(lean(run), f"id {kind}, size long, digest binary"), "setjoin-members")
-
-
-def _regrouped(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Array]:
-    """The texts of the batches in pieces of ``rows``, whatever size batches have."""
-    held: list[pa.Array] = []
+def _regrouped(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of ``rows``, whatever size they have."""
+    held: list[pa.RecordBatch] = []
     for b in batches:
         for k in range(0, b.num_rows, rows):
-            held.append(b.column("text").slice(k, rows))
-            if sum(map(len, held)) >= rows:
-                yield pa.concat_arrays(held)
+            held.append(b.slice(k, rows))
+            if sum(x.num_rows for x in held) >= rows:
+                yield pa.concat_batches(held)
                 held = []
     if held:
-        yield pa.concat_arrays(held)
+        yield pa.concat_batches(held)
 
 
 def _signed(batches: Iterator[pa.RecordBatch], rule: Rule, hot: int) -> Iterator[pa.RecordBatch]:
     """``(sig, node, tag)`` of every set of a task; of what ``SIGNED`` texts need, little more than the signatures is held."""
     seen: set[int] = set()
-    for text in _regrouped(batches, SIGNED):
-        sigs, keys, tags, sizes = [], [], [], []
-        for _, s in shingle_sets(text, rule.n):
-            if len(s) < 2 or (key := _key(digest(s))) in seen:
-                continue
-            seen.add(key)
-            for x, tag in signatures(s, rule):
-                sigs.append(x)
-                keys.append(key)
-                tags.append(tag)
-                sizes.append(len(x))
-        del text
-        if not sigs:
+    for piece in _regrouped(batches, SIGNED):
+        yield from _sign(piece.column("text"), rule, hot, seen, [])
+
+
+def _sign(text: pa.Array, rule: Rule, hot: int, seen: set[int], members: list[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
+    """``(sig, node, tag)`` of the sets of these texts that are not yet ``seen``, in the order of
+    the signatures; ``members`` gets ``(row, size, digest)`` of every text with words."""
+    sigs, keys, tags, sizes = [], [], [], []
+    for row, s in shingle_sets(text, rule.n):
+        members.append((row, len(s), name := digest(s)))
+        if len(s) < 2 or (key := _key(name)) in seen:
             continue
-        sig, own = np.concatenate(sigs).view(np.int64), np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-        del sigs
-        order = np.argsort(sig, kind="stable")
-        sig, own = sig[order], own[order]
-        del order
-        first = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
-        often = np.diff(np.concatenate((first, [len(sig)]))) > hot
-        mark = first[often]
-        last = np.concatenate((first[1:], [len(sig)]))[often]
-        del first, often
-        large = np.zeros(len(sig), dtype=bool)
-        for i, j in zip(mark.tolist(), last.tolist(), strict=True):
-            large[i:j] = True
-        node, kind = np.array(keys, dtype=np.int64), np.array(tags, dtype=np.int32)
-        for k in range(0, len(sig), 200_000):
-            at = own[k:k + 200_000]
-            tag = np.where(large[k:k + 200_000], kind[at] | _HOT, kind[at]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(sig[k:k + 200_000]), pa.array(node[at]), pa.array(tag)], names=["sig", "node", "tag"])
-        if len(mark):
-            yield pa.RecordBatch.from_arrays([pa.array(sig[mark]), pa.array(node[own[mark]]), pa.array(np.full(len(mark), _MARK, dtype=np.int32))],
-                                             names=["sig", "node", "tag"])
-        del sig, own, large  # else they stay while the next texts are signed
-
-
-def _in_batches(sig: np.ndarray, node: np.ndarray, tag: np.ndarray, keep: np.ndarray) -> Iterator[pa.RecordBatch]:
+        seen.add(key)
+        for x, tag in signatures(s, rule):
+            sigs.append(x)
+            keys.append(key)
+            tags.append(tag)
+            sizes.append(len(x))
+    del text
+    if not sigs:
+        return
+    sig, own = np.concatenate(sigs).view(np.int64), np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    del sigs
+    order = np.argsort(sig)
+    sig, own = sig[order], own[order]
+    del order
+    first = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
+    often = np.diff(np.concatenate((first, [len(sig)]))) > hot
+    mark = first[often]
+    last = np.concatenate((first[1:], [len(sig)]))[often]
+    del first, often
+    large = np.zeros(len(sig), dtype=bool)
+    for i, j in zip(mark.tolist(), last.tolist(), strict=True):
+        large[i:j] = True
+    node, kind = np.array(keys, dtype=np.int64), np.array(tags, dtype=np.int32)
+    for k in range(0, len(sig), 200_000):
+        at = own[k:k + 200_000]
+        tag = np.where(large[k:k + 200_000], kind[at] | _HOT, kind[at]).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(sig[k:k + 200_000]), pa.array(node[at]), pa.array(tag)], names=["sig", "node", "tag"])
+    if len(mark):
+        yield pa.RecordBatch.from_arrays([pa.array(sig[mark]), pa.array(node[own[mark]]), pa.array(np.full(len(mark), _MARK, dtype=np.int32))],
+                                         names=["sig", "node", "tag"])
+    del sig, own, large  # else they stay while the next texts are signed
+
+
+def _member_batch(of: pa.Array, names: pa.Array, members: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    """``(id, size, digest, node, of)`` of all rows; an empty set has no digest and no node."""
+    size, name, node = [0] * len(names), [None] * len(names), [None] * len(names)
+    for row, n, d in members:
+        size[row], name[row], node[row] = n, d, _key(d)
+    return pa.RecordBatch.from_arrays([names, pa.array(size, pa.int64()), pa.array(name, pa.binary()), pa.array(node, pa.int64()), of],
+                                      names=["id", "size", "digest", "node", "of"])
+
+
+def _blocks(b: pa.RecordBatch, parts: int) -> pa.RecordBatch:
+    """``(part, sigs, nodes, tags)``: a batch of signatures as one row for each part that they are dealt to.
+
+    A signature's part follows from it alone, but members of large groups are dealt out by node too."""
+    sig, node, tag = (b.column(k).to_numpy() for k in range(3))
+    share = (sig.view(np.uint64) ^ _u(1 << 63)) >> _u(32)  # the batch has the order of the signatures, and so of the parts
+    dealt = (tag & _HOT) != 0
+    if dealt.any():
+        share[dealt] = ta.mix(sig[dealt].view(np.uint64) ^ ta.mix(node[dealt].view(np.uint64))) >> _u(32)
+        order = np.argsort(share, kind="stable")
+        sig, node, tag, share = sig[order], node[order], tag[order], share[order]
+    part = (share * _u(parts) >> _u(32)).astype(np.int32)
+    first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+    at = np.append(first, len(part)).astype(np.int32)
+    packed = [pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(at * v.itemsize), pa.py_buffer(np.ascontiguousarray(v))])
+              for v in (sig, node, tag)]
+    return pa.RecordBatch.from_arrays([pa.array(part[first]), *packed], names=["part", "sigs", "nodes", "tags"])
+
+
+def _in_batches(sig: np.ndarray, node: np.ndarray, tag: np.ndarray, cost: np.ndarray, keep: np.ndarray) -> Iterator[pa.RecordBatch]:
     """The kept rows, 200,000 looked at at once."""
     for k in range(0, len(sig), 200_000):
         at, own = slice(k, k + 200_000), keep[k:k + 200_000]
-        yield pa.RecordBatch.from_arrays([pa.array(sig[at][own]), pa.array(node[at][own]), pa.array(tag[at][own].astype(np.int32))],
-                                         names=["sig", "node", "tag"])
-
+        yield pa.RecordBatch.from_arrays([pa.array(sig[at][own]), pa.array(node[at][own]), pa.array(tag[at][own].astype(np.int32)),
+                                          pa.array(cost[at][own].astype(np.int32))], names=["sig", "node", "tag", "cost"])
+
+
+def _shared(sig: np.ndarray, node: np.ndarray, tag: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """``(sig, node, tag, cost)`` of a part's signatures that two or more sets have."""
+    dealt = (tag & _HOT) != 0  # part of a large group, whose other members may be elsewhere
+    many = int(dealt.sum())
+    if many:
+        yield from _in_batches(sig[dealt], node[dealt], tag[dealt] & ~_HOT, np.zeros(many, dtype=np.int32), np.ones(many, dtype=bool))
+        sig, node, tag = sig[~dealt], node[~dealt], tag[~dealt]
+    del dealt
+    order = np.argsort(sig)
+    sig = sig[order]
+    same = np.zeros(len(sig) + 1, dtype=bool)
+    np.equal(sig[1:], sig[:-1], out=same[1:-1])
+    same = same[1:] | same[:-1]  # most signatures come once, and go no further
+    sig, order = sig[same], order[same]
+    node, tag = node[order], tag[order]
+    del same
+    if not len(sig):
+        return
+    order = np.lexsort((node, sig))
+    sig, node, tag = sig[order], node[order], tag[order]
+    del order
+    mark = (tag & _MARK) != 0
+    start = np.concatenate(([True], sig[1:] != sig[:-1]))
+    group = np.cumsum(start, dtype=np.int32) - 1
+    own = ~mark
+    # a set comes once from each task that has its text; a mark comes before or after a set's own row
+    last = np.flatnonzero(own)
+    again = ~start[last[1:]] & (group[last[1:]] == group[last[:-1]]) & (node[last[1:]] == node[last[:-1]])
+    own[last[1:][again]] = False
+    del start, last, again
+    cost = np.bincount(group[own], minlength=group[-1] + 1).astype(np.int32)
+    whole = cost > 1
+    cost[group[mark]] = 0
+    whole[group[mark]] = True
+    yield from _in_batches(sig, node, tag, cost[group], own & whole[group])
+
+
+def _read_once(docs: DataFrame, rule: Rule, hot: int) -> DataFrame:
+    """Both of what a reading of all texts gives, told apart by ``sig``, from ``(id, text, of)``:
+
+    ``(id, size, digest, node, of)`` of every document; the digest and node of an empty set are null.
+    ``(sig, node, tag, cost)`` for every signature that two or more sets have; ``cost`` is
+    their number, or 0 where members of a large group are elsewhere too.
+    """
+    parts = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a task holds its share in memory
+    kind = docs.schema["id"].dataType.simpleString()
+    member = ["id", "size", "digest", "node", "of"]
+
+    def filled(have: pa.RecordBatch, like: pa.Schema) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([have.column(f.name) if f.name in have.schema.names else pa.nulls(have.num_rows, f.type) for f in like], schema=like)
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for piece in _regrouped(batches, SIGNED):
+            like = pa.schema([("part", pa.int32()), ("sigs", pa.binary()), ("nodes", pa.binary()), ("tags", pa.binary()), ("id", piece.schema.field("id").type),
+                              ("size", pa.int64()), ("digest", pa.binary()), ("node", pa.int64()), ("of", pa.int64())])
+            members: list[tuple[int, int, bytes]] = []
+            for b in _sign(piece.column("text"), rule, hot, seen, members):
+                yield filled(_blocks(b, parts), like)
+            own = _member_batch(piece.column("of"), piece.column("id"), members)
+            yield filled(own.append_column("part", pa.array(np.arange(own.num_rows, dtype=np.int32) % parts, pa.int32())), like)
 
-def _shared_signatures(docs: DataFrame, rule: Rule, hot: int) -> DataFrame:
-    """``(sig, node, tag)`` for every signature that two or more sets have."""
     def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [[b.column(k).to_numpy(zero_copy_only=False) for k in range(3)] for b in batches]
-        if not parts:
-            return
-        sig, node, tag = (np.concatenate([p[k] for p in parts]) for k in range(3))
-        parts.clear()
-        dealt = (tag & _HOT) != 0  # part of a large group, whose other members may be elsewhere
-        yield from _in_batches(sig[dealt], node[dealt], tag[dealt] & ~_HOT, np.ones(int(dealt.sum()), dtype=bool))
-        if dealt.any():
-            sig, node, tag = sig[~dealt], node[~dealt], tag[~dealt]
-        del dealt
-        if not len(sig):
-            return
-        order = np.lexsort((node, sig))
-        sig, node, tag = sig[order], node[order], tag[order]
-        del order
-        mark = (tag & _MARK) != 0
-        start = np.concatenate(([True], sig[1:] != sig[:-1]))
-        group = np.cumsum(start, dtype=np.int32) - 1
-        again = np.concatenate(([False], ~start[1:] & (node[1:] == node[:-1]))) & ~mark
-        varied = np.zeros(group[-1] + 1, dtype=bool)
-        varied[group[1:][~start[1:] & (node[1:] != node[:-1])]] = True
-        varied[group[mark]] = True
-        keep = varied[group] & ~mark & ~again
-        del start, group, again, varied, mark
-        yield from _in_batches(sig, node, tag, keep)
-
-    signed = docs.select("text").mapInArrow(lean(partial(_signed, rule=rule, hot=hot)), "sig long, node long, tag int")
-    salt = F.when(F.col("tag").bitwiseAND(F.lit(_HOT)) != 0, F.col("node")).otherwise(F.lit(0).cast("long"))
-    parts = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a task holds its share in memory
-    return stored(signed.repartition(parts, "sig", salt).mapInArrow(lean(share), "sig long, node long, tag int"), "setjoin-shared")
+        held: list[list[np.ndarray]] = []
+        like = None
+        for b in batches:
+            like = pa.schema([("id", b.schema.field("id").type), ("size", pa.int64()), ("digest", pa.binary()), ("node", pa.int64()), ("of", pa.int64()),
+                              ("sig", pa.int64()), ("tag", pa.int32()), ("cost", pa.int32())])
+            yield filled(b.select(member).filter(b.column("size").is_valid()), like)
+            held.append([ta.string_parts(b.column(k))[1].view(t) for k, t in (("sigs", np.int64), ("nodes", np.int64), ("tags", np.int32))])
+        if held:
+            sig, node, tag = (np.concatenate([x[k] for x in held]) for k in range(3))
+            held.clear()
+            for b in _shared(sig, node, tag):
+                yield filled(b, like)
+
+    signed = docs.select("id", "text", "of").mapInArrow(
+        lean(sign), f"part int, sigs binary, nodes binary, tags binary, id {kind}, size long, digest binary, node long, of long")
+    return stored(signed.repartitionById(parts, "part").mapInArrow(
+        lean(share), f"id {kind}, size long, digest binary, node long, of long, sig long, tag int, cost int"), "setjoin-read")
 
 
 def _allocated(shared: DataFrame) -> DataFrame:
     """``(sig, node, have)``: the signatures through which a set may have a link, without
     those that it gives up as too costly; ``have`` is its number of shared ones."""
-    rows = shared.groupBy("sig", "node").agg(F.min("tag").alias("tag"))
-    cost = rows.groupBy("sig").agg(F.count("*").alias("cost"))
+    parted = shared.where("cost = 0").groupBy("sig", "node").agg(F.min("tag").alias("tag"))
+    cost = parted.groupBy("sig").agg(F.count("*").cast("int").alias("cost"))
+    rows = shared.where("cost > 1").select("sig", "node", "tag", "cost").unionByName(parted.join(cost, "sig").where("cost > 1"))
     # a node's rows are bounded by its own size; the total order is the same for all nodes
     own = Window.partitionBy("node", "tag")
     place = F.row_number().over(own.orderBy(F.desc("cost"), "sig"))
-    kept = (rows.join(cost, "sig").where("cost > 1").withColumns({"place": place, "have": F.count("*").over(own).cast("int")})
+    kept = (rows.withColumns({"place": place, "have": F.count("*").over(own).cast("int")})
             .where((F.col("place") > F.col("tag").bitwiseAND(F.lit(_SPARE)))
                    & (F.col("have") >= F.shiftright("tag", 11).bitwiseAND(F.lit(_NEED)))).select("sig", "node", "have"))
     return stored(kept, "setjoin-kept")
 
 
 def _sets(docs: DataFrame, rule: Rule, wanted: DataFrame, broadcast_keys: int) -> DataFrame:
-    """``(node, digest, set, sketch)`` of the wanted nodes, each digest once."""
+    """``(node, digest, set, sketch)`` of the wanted nodes, each digest once; ``docs`` has ``(text, of)``
+    and ``wanted`` ``(node, of)``, the ``of`` of one text for each of a node's sets."""
     spark, few = docs.sparkSession, wanted.count() <= broadcast_keys
-    keys = spark.sparkContext.broadcast(np.array(sorted(r.node for r in wanted.toLocalIterator()), dtype=np.int64)) if few else None
+    known = np.fromiter((x for r in wanted.toLocalIterator() for x in (r.node, r.of)), dtype=np.int64).reshape(-1, 2) if few else None
+    keys = spark.sparkContext.broadcast((np.unique(known[:, 0]), np.unique(known[:, 1]))) if few else None
+
+    def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(known, values)
+        return np.append(known, 0)[at] == values if len(known) else np.zeros(len(values), dtype=bool)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = keys.value if keys is not None else None
+        nodes, texts = keys.value if keys is not None else (None, None)
         seen: set[bytes] = set()
         for b in batches:
+            if texts is not None:  # texts that no wanted set needs are not read at all
+                b = b.filter(pa.array(among(b.column("of").to_numpy(), texts)))
             names, sets = [], []
             for _, s in shingle_sets(b.column("text"), rule.n):
                 d = digest(s)
-                if d in seen:
+                if d in seen or nodes is not None and not among(np.array([_key(d)]), nodes)[0]:
                     continue
-                if known is not None:
-                    at = int(np.searchsorted(known, _key(d)))
-                    if at == len(known) or known[at] != _key(d):
-                        continue
                 seen.add(d)
                 names.append(d)
                 sets.append(s.tobytes())
@@ -309,7 +396,7 @@ def _sets(docs: DataFrame, rule: Rule, wanted: DataFrame, broadcast_keys: int) -
             if names:
                 yield _set_batch(names, sets)
 
-    found = docs.select("text").mapInArrow(lean(run), "node long, digest binary, set binary, sketch array<long>")
+    found = docs.select("text", "of").mapInArrow(lean(run), "node long, digest binary, set binary, sketch array<long>")
     if not few:
         found = found.join(wanted, "node", "left_semi")
     # equal digests have equal sets: keep any one
@@ -423,13 +510,24 @@ def _links(checked: DataFrame, rule: Rule) -> DataFrame:
     return checked.where(100 * F.col("shared") >= rule.percent * F.col("total"))
 
 
-def link_nodes(docs: DataFrame, rule: Rule = Rule(), hot: int = HOT, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame | None:  # noqa: B008
-    """``(a_digest, b_digest)`` links whose components are those of all links; ``docs`` has a ``text``."""
-    kept = _allocated(_shared_signatures(docs, rule, hot))
+def _with_of(docs: DataFrame) -> DataFrame:
+    """With ``of``, a hash of the text that Spark makes without cutting it into words."""
+    return docs.withColumn("of", F.xxhash64("text"))
+
+
+def link_nodes(docs: DataFrame, rule: Rule = Rule(), hot: int = HOT, broadcast_keys: int = BROADCAST_KEYS,  # noqa: B008
+               read: DataFrame | None = None) -> DataFrame | None:
+    """``(a_digest, b_digest)`` links whose components are those of all links; ``docs`` has a
+    ``text``, and ``read`` is what ``_read_once`` gave for it, if that is there already."""
+    docs = _with_of(docs)
+    if read is None:
+        read = _read_once(docs.withColumn("id", F.lit(None).cast("long")), rule, hot)
+    kept = _allocated(read.where("sig IS NOT NULL"))
     most = F.max(F.struct("have", "node"))["node"]
     hubs = kept.groupBy("sig").agg(most.alias("hub"), F.count("*").alias("many")).where("many > 1").drop("many")
     groups = stored(kept.join(hubs, "sig"), "setjoin-groups")
-    sets = _sets(docs, rule, groups.select("node").distinct(), broadcast_keys)
+    texts = read.where("sig IS NULL AND digest IS NOT NULL").groupBy("digest").agg(F.any_value("node").alias("node"), F.min("of").alias("of"))
+    sets = _sets(docs, rule, texts.join(groups.select("node").distinct(), "node").select("node", "of"), broadcast_keys)
     stars = groups.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     checked = stored(_verified(stars, sets, rule), "setjoin-checked")
     first = _links(checked, rule).select("a", "b", "a_digest", "b_digest")
@@ -459,8 +557,9 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     """``(id, size, digest, component)`` for each document: its set's size and digest,
     and the smallest id that links reach."""
     plain = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    members = _membership(plain, rule)
-    links = link_nodes(plain, rule, hot, broadcast_keys)
+    read = _read_once(_with_of(plain), rule, hot)
+    members = read.where("sig IS NULL").select("id", "size", "digest")
+    links = link_nodes(plain, rule, hot, broadcast_keys, read)
     nodes = members.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.min("id").alias("first"))
     label = components(links.select(F.col("a_digest").alias("a"), F.col("b_digest").alias("b")))
     linked = label.join(nodes, label["id"] == nodes["digest"]).select("digest", "label", "first")

@@ -136,3 +136,62 @@ def test_signing_holds_little_more_than_the_signatures():
     tracemalloc.stop()
     print(most / rows)
     assert got == rows and most < 60 * rows
+
+
+def test_signatures_are_dealt_out_in_blocks_not_row_by_row():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    sig = np.sort(rng.integers(-(1 << 62), 1 << 62, 5000) * 2)
+    sig[100:400] = sig[100]  # one that many sets have: its members are dealt out by node
+    node = rng.integers(-(1 << 62), 1 << 62, 5000)
+    tag = np.full(5000, 7, dtype=np.int32)
+    tag[100:400] |= setjoin._HOT
+    b = setjoin._blocks(pa.RecordBatch.from_arrays([pa.array(sig), pa.array(node), pa.array(tag)], names=["sig", "node", "tag"]), 16)
+    assert b.num_rows <= 16 and len(set(b.column("part").to_pylist())) == b.num_rows and set(b.column("part").to_pylist()) <= set(range(16))
+    rows, part_of = [], {}
+    for part, s, n, t in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
+        s, n, t = np.frombuffer(s, np.int64).tolist(), np.frombuffer(n, np.int64).tolist(), np.frombuffer(t, np.int32).tolist()
+        rows += zip(s, n, t, strict=True)
+        for x in zip(s, n, t, strict=True):
+            part_of.setdefault(x[0], set()).add(part)
+    assert sorted(rows) == sorted(zip(sig.tolist(), node.tolist(), tag.tolist(), strict=True))
+    assert all(len(p) == 1 for s, p in part_of.items() if s != sig[100]) and len(part_of[int(sig[100])]) > 8
+
+
+def test_shared_signatures_carry_their_number_of_sets():
+    """Sets of a signature are counted where they meet; parts of large groups, which may be elsewhere too, are left to count."""
+    mark, hot = setjoin._MARK, setjoin._HOT
+    rows = [(1, 10, 5), (1, 11, 5), (1, 11, 5), (1, 12, 5),  # three sets, one signed by two tasks
+            (2, 10, 5),                                      # one set
+            (3, 10, 5), (3, 10, 5),                          # one set, signed by two tasks
+            (4, 10, 5), (4, 13, mark),                       # the others of a large group are elsewhere
+            (5, 10, 5 | hot), (5, 14, mark)]                 # dealt out by node
+    rng = random.Random(1)
+    for _ in range(20):
+        rng.shuffle(rows)
+        sig, node, tag = (np.array(x, dtype=t) for x, t in zip(zip(*rows, strict=True), (np.int64, np.int64, np.int32), strict=True))
+        got = [tuple(r.values()) for b in setjoin._shared(sig, node, tag) for r in b.to_pylist()]
+        assert sorted(got) == [(1, 10, 5, 3), (1, 11, 5, 3), (1, 12, 5, 3), (4, 10, 5, 0), (5, 10, 5, 0)]
+
+
+def test_one_reading_gives_members_and_signatures(spark, docs):
+    """What needed two readings of all texts comes from one, and sets are made again from candidates' texts only."""
+    plain = docs.selectExpr("doc_id AS id", "text", "xxhash64(text) AS of")
+    rows = setjoin._read_once(plain, setjoin.Rule(), setjoin.HOT)
+    members = rows.where("sig IS NULL").collect()
+    texts = [(r.id, r.text) for r in plain.collect()]
+    assert sorted(((r.id, r.size) for r in members), key=repr) == sorted(((i, len(shingles(t))) for i, t in texts), key=repr)
+    assert len({r.digest for r in members if r.digest}) == len({frozenset(shingles(t)) for _, t in texts if shingles(t)})
+    costs = {}
+    for r in rows.where("sig IS NOT NULL AND cost > 0").collect():
+        costs.setdefault(r.sig, []).append((r.node, r.cost))
+    assert costs and all(len({n for n, _ in v}) == len(v) and {c for _, c in v} == {len(v)} for v in costs.values())
+
+    one = next(r for r in members if r.size > 20)
+    wanted = spark.createDataFrame([(one.node, one.of)], "node long, of long")
+    for most in (setjoin.BROADCAST_KEYS, 0):
+        assert [r.digest for r in setjoin._sets(plain, setjoin.Rule(), wanted, most).collect()] == [one.digest]
+    # of a text with another hash nothing is read, whatever set it has
+    other = spark.createDataFrame([(one.node, one.of ^ 1)], "node long, of long")
+    assert setjoin._sets(plain, setjoin.Rule(), other, setjoin.BROADCAST_KEYS).count() == 0

@@ -30,7 +30,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Documents without an id or without words are nobody's copies and stay.  Different
     texts under one id stay if any of them would.
     """
-    found = jaccard_components(docs.select("doc_id", "text"))
+    found = stored(jaccard_components(docs.select("doc_id", "text")).select("id", "component"), "components")
     first = found.where("id = component").groupBy("id").count()
     lost = found.where("id <> component").select(F.col("id").alias("doc_id")).distinct()
     lost = stored(lost.join(first.select(F.col("id").alias("doc_id")), "doc_id", "left_anti"), "copies")

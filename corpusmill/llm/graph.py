@@ -22,14 +22,16 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        # a table, as it is used three times below, and the driver plans each use anew
+        large = stored(both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "links")
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         joined = large.join(low, "a")
         small = joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
             low.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
         new = stored(small, "links")
-        # done when every link leads from a node to its component's smallest, that is: no change
-        if new.exceptAll(edges).isEmpty() and edges.exceptAll(new).isEmpty():
+        # done when every link leads from a node to its component's smallest, that is: no change;
+        # links are distinct on both sides, so one that comes once has changed
+        if new.unionByName(edges).groupBy("a", "b").count().where("count = 1").isEmpty():
             break
         edges = new
     return edges.select(F.col("a").alias("id"), F.col("b").alias("label")).unionByName(

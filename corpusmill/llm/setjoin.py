@@ -29,7 +29,8 @@ below.  Every link is verified on the full sets.
 
 Scale: one reading of the texts gives sizes, digests and signatures (about 0.6 for
 each shingle), and one shuffle deals these out, as a row for each part and some
-hundred thousand signatures.  A subset that more than ``HOT`` of ``SIGNED`` texts
+hundred thousand signatures.  What several later steps use is a table first: the driver
+plans, and keeps, each step's whole plan.  A subset that more than ``HOT`` of ``SIGNED`` texts
 share is dealt out by text instead of meeting in one task; where it meets in one, its
 sets are counted there.  Later steps count with map-side sums and join with skew
 splitting.  Copies are one node, known by a 128-bit digest of the set; a task signs it
@@ -368,7 +369,9 @@ def _allocated(shared: DataFrame) -> DataFrame:
 def _sets(docs: DataFrame, rule: Rule, wanted: DataFrame, broadcast_keys: int) -> DataFrame:
     """``(node, digest, set, sketch)`` of the wanted nodes, each digest once; ``docs`` has ``(text, of)``
     and ``wanted`` ``(node, of)``, the ``of`` of one text for each of a node's sets."""
-    spark, few = docs.sparkSession, wanted.count() <= broadcast_keys
+    # a table of few files: taking it straight from the join would be a job for each shuffle partition
+    spark, wanted = docs.sparkSession, stored(wanted, "setjoin-wanted")
+    few = wanted.count() <= broadcast_keys
     known = np.fromiter((x for r in wanted.toLocalIterator() for x in (r.node, r.of)), dtype=np.int64).reshape(-1, 2) if few else None
     keys = spark.sparkContext.broadcast((np.unique(known[:, 0]), np.unique(known[:, 1]))) if few else None
 
@@ -534,7 +537,7 @@ def link_nodes(docs: DataFrame, rule: Rule = Rule(), hot: int = HOT, broadcast_k
 
     # groups in one component are done; in the others, members of different components remain
     label = components(first.select("a", "b"))
-    named = groups.join(label.withColumnRenamed("id", "node"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    named = stored(groups.join(label.withColumnRenamed("id", "node"), "node", "left").withColumn("label", F.coalesce("label", "node")), "setjoin-named")
     # a member's distance from the hub; unseen pairs (sizes that can't link) have none
     distance = checked.select(F.col("a").alias("hub"), F.col("b").alias("node"), (1 - F.col("shared") / F.col("total")).alias("far"))
     open_sigs = named.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("sig")
@@ -547,7 +550,7 @@ def link_nodes(docs: DataFrame, rule: Rule = Rule(), hot: int = HOT, broadcast_k
             .select("sig", "node", "label", "far", "size", "common", "sketch"))
     rest = _possible(stored(left, "setjoin-rest"), rule)
     done = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = rest.join(done, ["a", "b"], "left_anti")
+    rest = stored(rest.join(done, ["a", "b"], "left_anti"), "setjoin-pairs")
     second = _links(_verified(rest, sets, rule), rule).select("a", "b", "a_digest", "b_digest")
     return stored(reduce(DataFrame.unionByName, (first, second)).select("a_digest", "b_digest").distinct(), "setjoin-links")
 
@@ -562,7 +565,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     links = link_nodes(plain, rule, hot, broadcast_keys, read)
     nodes = members.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.min("id").alias("first"))
     label = components(links.select(F.col("a_digest").alias("a"), F.col("b_digest").alias("b")))
-    linked = label.join(nodes, label["id"] == nodes["digest"]).select("digest", "label", "first")
+    linked = stored(label.join(nodes, label["id"] == nodes["digest"]).select("digest", "label", "first"), "setjoin-linked")
     lowest = linked.groupBy("label").agg(F.min("first").alias("lowest"))
     of_linked = linked.join(lowest, "label").select("digest", "lowest")
     # copies of one text may be a third of all rows; the other side has one row each, so the join can be split

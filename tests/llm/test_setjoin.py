@@ -195,3 +195,42 @@ def test_one_reading_gives_members_and_signatures(spark, docs):
     # of a text with another hash nothing is read, whatever set it has
     other = spark.createDataFrame([(one.node, one.of ^ 1)], "node long, of long")
     assert setjoin._sets(plain, setjoin.Rule(), other, setjoin.BROADCAST_KEYS).count() == 0
+
+
+def started(spark, run):
+    """The Spark jobs that ``run`` starts."""
+    sc, group = spark.sparkContext, f"count-{random.random()}"
+    sc.setJobGroup(group, "")
+    try:
+        run()
+        return sc.statusTracker().getJobIdsForGroup(group)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_candidates_do_not_cost_a_job_for_each_partition(spark, docs):
+    wanted = spark.range(40).selectExpr("id AS node", "id AS of").repartition(40)
+    held = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "64k")
+    try:
+        jobs = started(spark, lambda: setjoin._sets(setjoin._with_of(docs), setjoin.Rule(), wanted, 100).count())
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", held)
+    assert len(jobs) < 20
+
+
+def test_a_round_of_components_plans_its_links_once(spark, monkeypatch):
+    from corpusmill.llm import graph
+
+    plans = []
+
+    def noted(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+        return stored(df, name)
+
+    stored = graph.stored
+    monkeypatch.setattr(graph, "stored", noted)
+    links = [(k, k + 1) for k in range(30)] + [(50, 51), (51, 50), (7, 7)]
+    got = {r.id: r.label for r in graph.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {**{k: 0 for k in range(31)}, 50: 50, 51: 50}
+    assert max(plans) == 1

@@ -50,7 +50,8 @@ from t group by doc_id""", "A4+A5")
 def token_sink_roundtrip(spark, sf):
     path = scratch_path(spark, "tokens")
     io.write_tokens(char_tokens(spark, sf), path)
-    t = io.read_tokens(spark, path, "int16")
+    # a document with an empty text has no tokens: no row
+    t = io.read_tokens(spark, path, "int16").where(F.coalesce(F.size("ids"), F.lit(1)) > 0)
     return t.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
                     F.aggregate("ids", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("id_sum"),
                     F.element_at("ids", 1).alias("first_id"))
